@@ -10,10 +10,10 @@ UNCATEGORIZED = "Uncategorized"
 MISSING = "—"
 
 # Characters removed at both ends of the description before it enters the key: ASCII and Unicode white space.
-_EDGE_SPACE = (
-    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0        "
-    "        　"
-)
+_EDGE_SPACE = "".join(map(chr, (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+    0x205F, 0x3000,
+)))
 
 
 def clean_desc(description: Column) -> Column:

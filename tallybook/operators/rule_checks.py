@@ -12,6 +12,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fields a first-match rule must have, in reporting order.
 REQUIRED_SIMPLE = ("id", "description", "op", "value", "category", "subcategory")
@@ -19,7 +20,7 @@ REQUIRED_SIMPLE = ("id", "description", "op", "value", "category", "subcategory"
 REQUIRED_GENERIC = ("actions", "id", "logic", "priority")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def json_error(text: pd.Series) -> pd.Series:
     def check(line: str | None) -> str | None:
         try:
@@ -31,7 +32,7 @@ def json_error(text: pd.Series) -> pd.Series:
     return text.map(check)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def regex_error(pattern: pd.Series) -> pd.Series:
     def check(p: str | None) -> str | None:
         try:
@@ -43,7 +44,7 @@ def regex_error(pattern: pd.Series) -> pd.Series:
     return pattern.map(check)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def generic_errors(text: pd.Series) -> pd.Series:
     """All faults of a priority rule: JSON, missing fields, logic, patterns."""
 

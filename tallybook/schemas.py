@@ -74,3 +74,13 @@ PROFILE = _struct(
 SHARES = _struct(owner_profile_id=_S, viewer_profile_id=_S)
 
 TAXONOMY = _struct(category=_S, subcategory=_S, description=_S)
+
+GENERIC_RULE = _struct(
+    id=_S,
+    priority=_I,
+    logic=_S,
+    match=T.ArrayType(_struct(column=_S, op=_S, value=_S, values=_IDS, case_insensitive=_B)),
+    actions=T.ArrayType(_struct(set=_struct(target=_S, value=_S))),
+    stop_after_match=_B,
+    profiles=_IDS,
+)

@@ -9,27 +9,11 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallybook.operators.rule_checks import generic_errors, json_error, regex_error
-
-GENERIC_RULE = T.StructType().add("id", "string").add("priority", "int").add("logic", "string").add(
-    "match",
-    T.ArrayType(
-        T.StructType()
-        .add("column", "string")
-        .add("op", "string")
-        .add("value", "string")
-        .add("values", T.ArrayType(T.StringType()))
-        .add("case_insensitive", "boolean")
-    ),
-).add(
-    "actions",
-    T.ArrayType(T.StructType().add("set", T.StructType().add("target", "string").add("value", "string"))),
-).add("stop_after_match", "boolean").add("profiles", T.ArrayType(T.StringType()))
-
+from tallybook.schemas import GENERIC_RULE
 
 def rule_lines(spark: SparkSession, directory: str) -> DataFrame:
     """Lines of all ``*.ndjson`` files of a directory: file, line (from 1), text (stripped)."""
@@ -88,8 +72,6 @@ def generic_rules(lines: DataFrame) -> DataFrame:
 
 def latest_rules(rules: DataFrame, key: str = "id") -> DataFrame:
     """The last read rule of each id, by (file, line). The row number filter becomes a group limit."""
-    from pyspark.sql import Window
-
     newest = Window.partitionBy(key).orderBy(F.desc("file"), F.desc("line"))
     return rules.withColumn("__n", F.row_number().over(newest)).filter("__n = 1").drop("__n")
 
