@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.functions.dates import CENTURY_PIVOT, with_parsed_date
 from tallybook.functions.money import to_money
@@ -14,9 +15,14 @@ SURVIVOR_ORDER = ("balance", "amount", "description", "currency", "source_file",
 
 
 def standardize(bronze: DataFrame, century_pivot: int = CENTURY_PIVOT) -> DataFrame:
-    """Typed silver rows with key and defaults, duplicates still in. Projections only, no shuffle."""
+    """Typed silver rows with key and defaults, duplicates still in. Projections only, no shuffle.
+
+    A post_date that is a DATE already is taken as it is, so filters on it still reach the scan.
+    """
     has_source = {"source_file", "source_sha256"} <= set(bronze.columns)
-    typed = with_parsed_date(bronze, "post_date", "post_date", century_pivot).select(
+    if bronze.schema["post_date"].dataType != T.DateType():
+        bronze = with_parsed_date(bronze, "post_date", "post_date", century_pivot)
+    typed = bronze.select(
         F.col("profile_id").cast("string").alias("profile_id"),
         F.col("account_id").cast("string").alias("account_id"),
         "post_date",

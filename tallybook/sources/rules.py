@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from tallybook.operators.rule_checks import generic_errors, json_error, regex_error
 from tallybook.schemas import GENERIC_RULE
 
-def rule_lines(spark: SparkSession, directory: str) -> DataFrame:
-    """Lines of all ``*.ndjson`` files of a directory: file, line (from 1), text (stripped)."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.ndjson").text(directory)
+def rule_lines(spark: SparkSession, directory: str, pattern: str = "*.ndjson") -> DataFrame:
+    """Lines of the rule files of a directory: file, line (from 1), text (stripped)."""
+    files = spark.read.option("pathGlobFilter", pattern).text(directory, wholetext=True)
     return files.select(
         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"),
         F.posexplode(F.split("value", "\r?\n")).alias("at", "text"),
@@ -33,7 +33,7 @@ def simple_rules(lines: DataFrame) -> DataFrame:
 
     Blank lines and ``#`` comments are no rules. Order of application: (file, line).
     """
-    stem = F.regexp_replace("file", r"\.ndjson$", "")
+    stem = F.regexp_replace("file", r"\.[^.]+$", "")
     fields = lines.filter((F.col("text") != "") & ~F.col("text").startswith("#")).select(
         "file",
         "line",
@@ -82,18 +82,18 @@ def _reject(rows: list[Any]) -> None:
         raise ValueError("; ".join(bad))
 
 
-def load_simple_rules(spark: SparkSession, directory: str) -> list[dict[str, Any]]:
+def load_simple_rules(spark: SparkSession, directory: str, pattern: str = "*.ndjson") -> list[dict[str, Any]]:
     """Rules for ``categorize``. Any rejected line is an error."""
-    rows = simple_rules(rule_lines(spark, directory)).orderBy("file", "line").collect()
+    rows = simple_rules(rule_lines(spark, directory, pattern)).orderBy("file", "line").collect()
     _reject(rows)
     return [
         {k: r[k] for k in ("id", "column", "op", "value", "category", "subcategory")} for r in rows
     ]
 
 
-def load_generic_rules(spark: SparkSession, directory: str) -> list[dict[str, Any]]:
+def load_generic_rules(spark: SparkSession, directory: str, pattern: str = "*.ndjson") -> list[dict[str, Any]]:
     """Rules for ``apply_priority_rules``, in (priority, id) order, last one read winning for each id."""
-    read = generic_rules(rule_lines(spark, directory))
+    read = generic_rules(rule_lines(spark, directory, pattern))
     _reject(read.filter(F.col("error").isNotNull()).orderBy("file", "line").collect())
     rows = (
         latest_rules(read.select("file", "line", "text", F.col("rule.id").alias("id"), "rule.priority"))

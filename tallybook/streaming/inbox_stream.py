@@ -71,7 +71,7 @@ def ingest_inbox(
     """
     source = (
         spark.readStream.format("binaryFile")
-        .schema(spark.read.format("binaryFile").load(inbox).schema)
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
