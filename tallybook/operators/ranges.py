@@ -15,12 +15,25 @@ from pyspark.sql import functions as F
 PRESETS = ("7d", "30d", "mtd", "qtd", "ytd", "all", "default")
 
 
-def date_bounds(facts: DataFrame) -> DataFrame:
-    """One row: min_date, max_date."""
+def _folder(df: DataFrame) -> Column:
+    return F.col("year") * 12 + F.col("month")
+
+
+def date_bounds(facts: DataFrame, foldered: bool = False) -> DataFrame:
+    """One row: min_date, max_date.
+
+    ``foldered`` says that facts are read from a lake table with year and month folders. Then the outermost
+    months are found from the folders, and only their files are read for the days.
+    """
+    if foldered:
+        months = facts.agg(F.struct(F.min(_folder(facts)).alias("lo"), F.max(_folder(facts)).alias("hi"))).scalar()
+        facts = facts.filter((_folder(facts) == months["lo"]) | (_folder(facts) == months["hi"]))
     return facts.agg(F.min("post_date").alias("min_date"), F.max("post_date").alias("max_date"))
 
 
-def preset_range(facts: DataFrame, preset: str, as_of: date | None = None) -> DataFrame:
+def preset_range(
+    facts: DataFrame, preset: str, as_of: date | None = None, foldered: bool = False
+) -> DataFrame:
     """One row: from_date, to_date of a preset over these facts."""
     newest = F.col("max_date")
     anchor = newest if as_of is None else F.least(newest, F.lit(as_of))
@@ -36,7 +49,7 @@ def preset_range(facts: DataFrame, preset: str, as_of: date | None = None) -> Da
     if preset not in ranges:
         raise ValueError(f"unknown preset {preset!r}; known are {', '.join(PRESETS)}")
     start, end = ranges[preset]
-    return date_bounds(facts).select(start.alias("from_date"), end.alias("to_date"))
+    return date_bounds(facts, foldered).select(start.alias("from_date"), end.alias("to_date"))
 
 
 def _month_number(day: Column) -> Column:
@@ -47,15 +60,16 @@ def between_days(facts: DataFrame, start: Column, end: Column) -> DataFrame:
     """Rows dated from start to end, both included. Month folders outside the range are not read."""
     kept = facts.filter(F.col("post_date").between(start, end))
     if {"year", "month"} <= set(facts.columns):
-        folder = F.col("year") * 12 + F.col("month")
-        kept = kept.filter(folder.between(_month_number(start), _month_number(end)))
+        kept = kept.filter(_folder(facts).between(_month_number(start), _month_number(end)))
     return kept
 
 
-def in_preset(facts: DataFrame, preset: str, as_of: date | None = None) -> DataFrame:
+def in_preset(
+    facts: DataFrame, preset: str, as_of: date | None = None, foldered: bool = False
+) -> DataFrame:
     """Rows in a preset range. The range is a scalar subquery, so the report stays one lazy plan."""
-    bounds = preset_range(facts, preset, as_of)
-    return between_days(facts, bounds.select("from_date").scalar(), bounds.select("to_date").scalar())
+    days = preset_range(facts, preset, as_of, foldered).select(F.struct("from_date", "to_date")).scalar()
+    return between_days(facts, days["from_date"], days["to_date"])
 
 
 def in_custom(facts: DataFrame, start: date, end: date) -> DataFrame:
