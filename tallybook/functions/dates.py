@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 CENTURY_PIVOT = 76
 
 # Date spellings understood by the reader.
+PLAIN_NUMBERS = r"^\d{1,4}[-/. ]\d{1,2}[-/. ]\d{1,4}$"
 ISO_DAY = r"^\s*(\d{4}-\d{1,2}-\d{1,2})(?:[Tt\s]\s*\d{1,2}:\d{2}.*)?\s*$"
 CLOCK = (
     r"(?:\bt|(?<=\d)t)?\b\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:[ap]\.?m\.?)?\s*"
@@ -43,7 +44,7 @@ def _iso(text: Column) -> Column:
 def _dashed(text: Column) -> Column:
     """Lower-case ``a-b-c`` form of a date text: clock, weekday and ordinal endings gone."""
     t = F.lower(F.trim(text))
-    t = F.regexp_replace(t, CLOCK, " ")
+    t = F.when(text.contains(":"), F.regexp_replace(t, CLOCK, " ")).otherwise(t)
     t = F.regexp_replace(t, COMPACT_CLOCK, "")
     t = F.regexp_replace(t, NOISE, " ")
     t = F.regexp_replace(t, r"(?<=\d)(?=[a-z])|(?<=[a-z])(?=\d)", "-")
@@ -73,9 +74,11 @@ def with_parsed_date(
     kept = [F.col(f"`{c}`") for c in df.columns]
 
     step = df.select(*kept, _iso(F.col(source)).alias(iso))
-    step = step.select(
-        "*", F.when(F.col(iso).isNull(), F.split(_dashed(F.col(source)), "-")).alias(parts)
+    text = F.col(source)
+    pieces = F.when(F.trim(text).rlike(PLAIN_NUMBERS), F.split(F.trim(text), "[-/. ]")).otherwise(
+        F.split(_dashed(text), "-")
     )
+    step = step.select("*", F.when(F.col(iso).isNull(), pieces).alias(parts))
 
     a, b, c = (F.get(F.col(parts), F.lit(i)) for i in range(3))
     is_name = [t.rlike(MONTH_NAME) for t in (a, b, c)]

@@ -85,7 +85,7 @@ def month_of_range(start: date, end: date) -> str | None:
     return f"{start:%Y-%m}" if (start.year, start.month) == (end.year, end.month) else None
 
 
-def calendar_months(facts: DataFrame) -> DataFrame:
+def calendar_months(facts: DataFrame, foldered: bool = False) -> DataFrame:
     """Every month of the years the data covers, with a flag for months wholly outside it."""
     first = F.explode(
         F.sequence(
@@ -94,7 +94,7 @@ def calendar_months(facts: DataFrame) -> DataFrame:
             F.expr("INTERVAL 1 MONTH"),
         )
     )
-    months = date_bounds(facts).select("min_date", "max_date", first.alias("first_day"))
+    months = date_bounds(facts, foldered).select("min_date", "max_date", first.alias("first_day"))
     last = F.last_day("first_day")
     return months.select(
         F.year("first_day").alias("year"),

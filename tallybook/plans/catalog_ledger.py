@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from tallybook.plans.testbed import (
     SILVER_SQL,
     categorized_sql,
     facts,
+    gold_facts,
     ledger,
     plain,
     silver,
@@ -240,8 +243,19 @@ SELECT 'owner=' || profile_id AS profile_id, account_id, CAST(post_date AS VARCH
 FROM ledger"""
 
 
-def _lake_from_ledger(spark: SparkSession, sf_dir: str, name: str) -> Lake:
-    lake = Lake(shared_folder(spark, name))
+_BUILT: dict[tuple[str, ...], Any] = {}
+
+
+def _once(name: str, spark: SparkSession, sf_dir: str, build):
+    """Result of a build step that several queries read, made once in a session."""
+    key = (name, spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        _BUILT[key] = build(spark, sf_dir)
+    return _BUILT[key]
+
+
+def _lake_from_ledger(spark: SparkSession, sf_dir: str) -> Lake:
+    lake = Lake(shared_folder(spark, "lake"))
     bronze = ledger(spark, sf_dir).withColumns({
         "post_date": F.col("post_date").cast("string"), "source_file": F.lit("ledger"), "source_sha256": F.lit(""), "ingest_batch": F.lit("0"),
     })
@@ -254,18 +268,27 @@ def _lake_from_ledger(spark: SparkSession, sf_dir: str, name: str) -> Lake:
 
 def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze, silver, labelled and gold tables written and read back."""
-    return plain(read_fact(spark, _lake_from_ledger(spark, sf_dir, "lake")))
+    return plain(read_fact(spark, _once("lake", spark, sf_dir, _lake_from_ledger)))
 
 
 def lake_roundtrip_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(read_monthly(spark, _lake_from_ledger(spark, sf_dir, "lake")))
+    return plain(read_monthly(spark, _once("lake", spark, sf_dir, _lake_from_ledger)))
 
 
-def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The transactions export, read back from CSV."""
+def _write_exports(spark: SparkSession, sf_dir: str) -> str:
     out = shared_folder(spark, "exports")
-    rows = facts(spark, sf_dir)
+    rows = gold_facts(spark, sf_dir)
     export_all(rows, category_monthly(rows), out)
+    return out
+
+
+def _exports(spark: SparkSession, sf_dir: str) -> str:
+    return _once("exports", spark, sf_dir, _write_exports)
+
+
+def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions export, read back from CSV."""
+    out = _exports(spark, sf_dir)
     text = spark.read.schema(", ".join(f"{c} string" for c in (*TRANSACTION_COLUMNS, "profile")))
     back = text.option("header", True).csv(f"{out}/transactions")
     return back.select(
@@ -285,9 +308,7 @@ FROM facts"""
 
 
 def export_spend_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = shared_folder(spark, "exports")
-    rows = facts(spark, sf_dir)
-    export_all(rows, category_monthly(rows), out)
+    out = _exports(spark, sf_dir)
     schema = "profile_id string, year int, month int, category string, subcategory string, spend double, profile string"
     return spark.read.schema(schema).option("header", True).csv(f"{out}/category_spend_only")
 

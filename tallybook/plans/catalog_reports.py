@@ -13,7 +13,7 @@ from tallybook.plans.testbed import (
     ORDERS_SQL,
     SHARES_SQL,
     customer_profiles,
-    facts,
+    gold_facts,
     order_ledger,
     plain,
     silver,
@@ -25,7 +25,7 @@ _LABEL = "coalesce(category, 'Uncategorized')"
 
 
 def _on_facts(report):
-    return lambda spark, sf_dir: plain(report(facts(spark, sf_dir)))
+    return lambda spark, sf_dir: plain(report(gold_facts(spark, sf_dir)))
 
 
 def distinct_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ _RANGE_COLUMNS = ("txn_id", "profile_id", "post_date", "amount", "category")
 
 
 def _range_query(pick):
-    return lambda spark, sf_dir: plain(pick(facts(spark, sf_dir)).select(*_RANGE_COLUMNS))
+    return lambda spark, sf_dir: plain(pick(gold_facts(spark, sf_dir)).select(*_RANGE_COLUMNS))
 
 
 def _range_sql(start: str, end: str) -> str:
@@ -114,24 +114,24 @@ SELECT category, CAST(total AS DOUBLE) AS total,
         _on_facts(lambda f: rollups.total_spend(drilldown.in_category(f, "Kitchen"))),
         f"{_F} SELECT {_SPEND} AS total_spend FROM facts WHERE category = 'Kitchen'",
     ),
-    "date_bounds": (_on_facts(ranges.date_bounds), f"{_F} SELECT min(post_date) AS min_date, max(post_date) AS max_date FROM facts"),
+    "date_bounds": (_on_facts(lambda f: ranges.date_bounds(f, foldered=True)), f"{_F} SELECT min(post_date) AS min_date, max(post_date) AS max_date FROM facts"),
     "calendar_months": (
-        _on_facts(ranges.calendar_months),
+        _on_facts(lambda f: ranges.calendar_months(f, foldered=True)),
         f"""{_F}, b AS (SELECT min(post_date) AS lo, max(post_date) AS hi FROM facts),
 m AS (SELECT lo, hi, CAST(unnest(generate_series(date_trunc('year', lo)::TIMESTAMP,
   (date_trunc('year', hi) + INTERVAL 11 MONTH)::TIMESTAMP, INTERVAL 1 MONTH)) AS DATE) AS d FROM b)
 SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, d AS first_day, last_day(d) AS last_day,
   last_day(d) < lo OR d > hi AS is_disabled FROM m""",
     ),
-    "range_last_7d": (_range_query(lambda f: ranges.in_preset(f, "7d")), _range_sql("hi - 6", "hi")),
+    "range_last_7d": (_range_query(lambda f: ranges.in_preset(f, "7d", foldered=True)), _range_sql("hi - 6", "hi")),
     "range_last_30d": (
-        _range_query(lambda f: ranges.in_preset(f, "30d", AS_OF)), _range_sql("as_of - 29", "as_of"),
+        _range_query(lambda f: ranges.in_preset(f, "30d", AS_OF, foldered=True)), _range_sql("as_of - 29", "as_of"),
     ),
-    "range_mtd": (_range_query(lambda f: ranges.in_preset(f, "mtd", AS_OF)), _range_sql("date_trunc('month', as_of)", "as_of")),
-    "range_qtd": (_range_query(lambda f: ranges.in_preset(f, "qtd", AS_OF)), _range_sql("date_trunc('quarter', as_of)", "as_of")),
-    "range_ytd": (_range_query(lambda f: ranges.in_preset(f, "ytd", AS_OF)), _range_sql("date_trunc('year', as_of)", "as_of")),
-    "range_all": (_range_query(lambda f: ranges.in_preset(f, "all")), _range_sql("lo", "hi")),
-    "range_default": (_range_query(lambda f: ranges.in_preset(f, "default")), _range_sql("date_trunc('month', hi)", "last_day(hi)")),
+    "range_mtd": (_range_query(lambda f: ranges.in_preset(f, "mtd", AS_OF, foldered=True)), _range_sql("date_trunc('month', as_of)", "as_of")),
+    "range_qtd": (_range_query(lambda f: ranges.in_preset(f, "qtd", AS_OF, foldered=True)), _range_sql("date_trunc('quarter', as_of)", "as_of")),
+    "range_ytd": (_range_query(lambda f: ranges.in_preset(f, "ytd", AS_OF, foldered=True)), _range_sql("date_trunc('year', as_of)", "as_of")),
+    "range_all": (_range_query(lambda f: ranges.in_preset(f, "all", foldered=True)), _range_sql("lo", "hi")),
+    "range_default": (_range_query(lambda f: ranges.in_preset(f, "default", foldered=True)), _range_sql("date_trunc('month', hi)", "last_day(hi)")),
     "range_month": (
         _range_query(lambda f: ranges.in_month(f, 2000, 2)), _range_sql("DATE '2000-02-01'", "DATE '2000-02-29'"),
     ),

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from tallybook.operators.first_match import categorize
 from tallybook.operators.rollups import fact_transactions
 from tallybook.operators.standardize import standardize
+from tallybook.plans.scratch import shared_folder
 from tallybook.schemas import MONEY
+from tallybook.sources.lake import Lake, read_fact, write_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +87,19 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_transactions(categorize(silver(spark, sf_dir), SHOP_RULES))
 
 
+_GOLD: dict[tuple[str, str], Lake] = {}
+
+
+def gold_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``facts`` as the reports meet them: a lake table in month folders, written once in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GOLD:
+        lake = Lake(shared_folder(spark, "gold"))
+        write_table(facts(spark, sf_dir), lake.fact)
+        _GOLD[key] = lake
+    return read_fact(spark, _GOLD[key])
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles and arrays as text, so that any engine can be compared with."""
     shown = []
