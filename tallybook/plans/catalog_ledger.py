@@ -33,7 +33,7 @@ from tallybook.plans.testbed import (
 from tallybook.schemas import MONEY
 from tallybook.sinks.exports import TRANSACTION_COLUMNS, export_all
 from tallybook.sources.inbox import line_digests, new_contents
-from tallybook.sources.lake import Lake, read_bronze, read_fact, read_monthly, write_table
+from tallybook.sources.lake import Lake, read_bronze, read_fact, read_monthly, spread, write_table
 from tallybook.sources.reference_data import read_taxonomy
 from tallybook.streaming.inbox_stream import ingest_inbox
 
@@ -65,7 +65,8 @@ def parse_mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F
     for i, (pattern, _) in enumerate(DATE_SPELLINGS):
         text = text.when(key % (len(DATE_SPELLINGS) + 1) == i, F.date_format(day, pattern))
-    written = table(spark, sf_dir, "orders").select(key, text.otherwise("on order").alias("written"))
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    written = orders.select(key, text.otherwise("on order").alias("written"))
     return with_parsed_date(written, "written", "post_date")
 
 

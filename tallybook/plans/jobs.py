@@ -18,6 +18,7 @@ from tallybook.sources.lake import (
     read_fact,
     read_monthly,
     read_silver,
+    spread,
     write_table,
 )
 from tallybook.sources.rules import load_simple_rules
@@ -26,7 +27,7 @@ from tallybook.streaming.inbox_stream import ingest_inbox
 
 def build_silver(spark: SparkSession, lake: Lake, fmt: str = "parquet") -> None:
     """Bronze to silver, whole table."""
-    write_table(dedup_transactions(standardize(read_bronze(spark, lake, fmt))), lake.silver, fmt=fmt)
+    write_table(dedup_transactions(standardize(spread(read_bronze(spark, lake, fmt)))), lake.silver, fmt=fmt)
 
 
 def build_categorized(

@@ -16,7 +16,7 @@ from tallybook.operators.rollups import fact_transactions
 from tallybook.operators.standardize import standardize
 from tallybook.plans.scratch import shared_folder
 from tallybook.schemas import MONEY
-from tallybook.sources.lake import Lake, read_fact, write_table
+from tallybook.sources.lake import Lake, read_fact, spread, write_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows. Size of the part table decides on its join; no hint is given."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"
+        )
+    )
     price = F.col("l_extendedprice")
     return lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_returnflag").alias("profile_id"),

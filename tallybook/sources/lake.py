@@ -78,6 +78,16 @@ def write_table(
     writer.option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static").save(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of an input with few splits over all cores, before work that costs time for each row.
+
+    Splits are counted first: a large input has more of them than there are cores and passes unchanged,
+    without an exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def read_bronze(spark: SparkSession, lake: Lake, fmt: str = "parquet") -> DataFrame:
     return read_table(spark, lake.bronze, schemas.BRONZE, fmt)
 
