@@ -29,5 +29,5 @@ def owners_of(shares: DataFrame, viewer: str) -> DataFrame:
 
 def visible_facts(facts: DataFrame, shares: DataFrame, viewer: str) -> DataFrame:
     """Facts of all owners that share with the viewer."""
-    owners = owners_of(shares, viewer).withColumnRenamed("owner_profile_id", "profile_id")
+    owners = shares.filter(F.col("viewer_profile_id") == viewer).select(F.col("owner_profile_id").alias("profile_id"))
     return facts.join(owners, "profile_id", "left_semi")

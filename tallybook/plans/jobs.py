@@ -33,13 +33,16 @@ def build_silver(spark: SparkSession, lake: Lake, fmt: str = "parquet") -> None:
 def build_categorized(
     spark: SparkSession, lake: Lake, rules: list[dict[str, Any]], fmt: str = "parquet"
 ) -> None:
-    """Silver to its own labelled table. Silver stays as it is, so changed rules can be run again."""
-    write_table(categorize(read_silver(spark, lake, fmt), rules), lake.categorized, fmt=fmt)
+    """Silver to its own labelled table. Silver stays as it is, so changed rules can be run again.
+
+    Same folders as silver, so the job has no exchange.
+    """
+    write_table(categorize(read_silver(spark, lake, fmt), rules), lake.categorized, fmt=fmt, regroup=False)
 
 
 def build_gold(spark: SparkSession, lake: Lake, fmt: str = "parquet") -> None:
-    """Fact table, then monthly totals from the written facts (two columns less than half as wide)."""
-    write_table(fact_transactions(read_categorized(spark, lake, fmt)), lake.fact, fmt=fmt)
+    """Fact table (no exchange), then monthly totals from the written facts, which are read by two columns."""
+    write_table(fact_transactions(read_categorized(spark, lake, fmt)), lake.fact, fmt=fmt, regroup=False)
     write_table(category_monthly(read_fact(spark, lake, fmt)), lake.monthly, fmt=fmt)
 
 
