@@ -12,6 +12,7 @@ from tallybook.operators.standardize import dedup_transactions, standardize
 from tallybook.sinks.exports import export_all
 from tallybook.sources.inbox import WHOLE_FILE_LIMIT
 from tallybook.sources.lake import (
+    BY_PROFILE,
     Lake,
     read_bronze,
     read_categorized,
@@ -43,7 +44,8 @@ def build_categorized(
 def build_gold(spark: SparkSession, lake: Lake, fmt: str = "parquet") -> None:
     """Fact table (no exchange), then monthly totals from the written facts, which are read by two columns."""
     write_table(fact_transactions(read_categorized(spark, lake, fmt)), lake.fact, fmt=fmt, regroup=False)
-    write_table(category_monthly(read_fact(spark, lake, fmt)), lake.monthly, fmt=fmt)
+    # One folder for each profile: a profile has some thousand totals, a folder for each month a handful.
+    write_table(category_monthly(read_fact(spark, lake, fmt)), lake.monthly, by=BY_PROFILE, fmt=fmt)
 
 
 def build_exports(spark: SparkSession, lake: Lake, out: str, fmt: str = "parquet") -> None:
