@@ -34,8 +34,18 @@ def ingest_files(
     """Bring files (path, uri, length) into bronze and the registry; returns the number of new contents."""
     if not files:
         return 0
-    registry = read_or_empty(spark, lake.registry, schemas.REGISTRY, fmt).filter(F.col("ingest_batch") != batch)
-    fresh = new_contents(file_contents(spark, files, whole_file_limit), registry).collect()
+    hashed = file_contents(spark, files, whole_file_limit)
+    # One row for each file of the batch. Kept, so that no file is hashed twice.
+    contents = spark.createDataFrame(hashed.collect(), hashed.schema)
+    keys = contents.select("profile_id", "sha256")
+    # The registry grows for ever: read the folders of these profiles, and reduce it to this batch's contents by
+    # a broadcast of the batch, so that it is never shuffled.
+    owners = [r.profile_id for r in keys.select("profile_id").distinct().collect()]
+    registry = read_or_empty(spark, lake.registry, schemas.REGISTRY, fmt).filter(
+        F.col("profile_id").isin(owners) & (F.col("ingest_batch") != batch)
+    )
+    known = registry.join(F.broadcast(keys), ["profile_id", "sha256"], "left_semi")
+    fresh = new_contents(contents, known).collect()
     if not fresh:
         return 0
     rows = read_statements(spark, fresh)
