@@ -72,9 +72,9 @@ def write_table(
     """Write a partitioned table. ``replace``: the whole table, or only the ``partitions`` present in ``df``.
 
     ``regroup`` is for rows in any order; rows that come from a table with the same folders, row by row, need
-    no exchange: a task writes to the few folders it has read. The rebalance hint brings rows of a partition folder together, so tasks do not each open every folder;
-    adaptive execution then splits a folder that holds a large share of the rows over several tasks and
-    merges small ones.
+    no exchange: a task writes to the few folders it has read. The rebalance hint brings rows of a partition
+    folder together, so tasks do not each open every folder; adaptive execution then splits a folder that holds
+    a large share of the rows over several tasks and merges small ones.
     """
     rows = df.hint("rebalance", *by) if regroup else df
     writer = rows.write.format(fmt).mode("overwrite").partitionBy(*by)
