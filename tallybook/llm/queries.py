@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybook.llm import decontaminate, ngram_join
+from tallybook.llm import decontaminate, ngram_join, toxicity
 from tallybook.llm.tables import documents
 
 
@@ -10,11 +10,15 @@ def op1_ngram_join(spark, sf_dir):
     return ngram_join.ngram_components(documents(spark, sf_dir))
 
 
+def op2_toxicity(spark, sf_dir):
+    return toxicity.toxicity(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op10_decontaminate(spark, sf_dir):
     return decontaminate.benchmark_hits(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op10_decontaminate)}
 
 _OP10 = """
 WITH w AS (
