@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybook.llm import decontaminate, mixing, ngram_join, secrets, toxicity, url_filter
+from tallybook.llm import decontaminate, mixing, ngram_join, secrets, substrings, toxicity, url_filter
 from tallybook.llm.tables import documents
 
 
@@ -22,6 +22,10 @@ def op6_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op8_substrings(spark, sf_dir):
+    return substrings.deduplicated(documents(spark, sf_dir)).drop("spans")
+
+
 def op9_secrets(spark, sf_dir):
     return secrets.secret_spans(documents(spark, sf_dir))
 
@@ -30,7 +34,7 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.benchmark_hits(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_url_filter, op6_mixing, op9_secrets, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_url_filter, op6_mixing, op8_substrings, op9_secrets, op10_decontaminate)}
 
 _OP10 = """
 WITH w AS (
