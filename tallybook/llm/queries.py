@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybook.llm import decontaminate, mixing, neighbours, ngram_join, secrets, substrings, toxicity, url_filter
+from tallybook.llm import decontaminate, mixing, neighbours, ngram_join, page_text, secrets, substrings, toxicity, url_filter
 from tallybook.llm.tables import documents
 
 
@@ -18,6 +18,10 @@ def op3_url_filter(spark, sf_dir):
     return url_filter.judged(documents(spark, sf_dir, "pages"))
 
 
+def op4_page_text(spark, sf_dir):
+    return page_text.main_text(documents(spark, sf_dir, "pages"))
+
+
 def op5_neighbours(spark, sf_dir):
     return neighbours.nearest(documents(spark, sf_dir, "embeddings"))
 
@@ -38,7 +42,7 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.benchmark_hits(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_url_filter, op5_neighbours, op6_mixing, op8_substrings, op9_secrets, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_url_filter, op4_page_text, op5_neighbours, op6_mixing, op8_substrings, op9_secrets, op10_decontaminate)}
 
 _OP10 = """
 WITH w AS (
