@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybook.llm import decontaminate, mixing, neighbours, ngram_join, page_text, secrets, substrings, toxicity, url_filter
+from tallybook.llm import decontaminate, licenses, mixing, neighbours, ngram_join, page_text, secrets, substrings, toxicity, url_filter
 from tallybook.llm.tables import documents
 
 
@@ -30,6 +30,10 @@ def op6_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op7_licenses(spark, sf_dir):
+    return licenses.scan(licenses.with_paths(documents(spark, sf_dir)))
+
+
 def op8_substrings(spark, sf_dir):
     return substrings.deduplicated(documents(spark, sf_dir)).drop("spans")
 
@@ -42,7 +46,7 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.benchmark_hits(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_url_filter, op4_page_text, op5_neighbours, op6_mixing, op8_substrings, op9_secrets, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_url_filter, op4_page_text, op5_neighbours, op6_mixing, op7_licenses, op8_substrings, op9_secrets, op10_decontaminate)}
 
 _OP10 = """
 WITH w AS (
