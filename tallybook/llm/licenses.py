@@ -1,8 +1,8 @@
 """Licence scan in DataFrame operations: sparse TF-IDF cosine to templates, then inheritance from the nearest directory.
 
 A file's statements are its lines that hold a licence cue; of a file that is named as a licence file the whole text is
-one more statement. Statements and templates are sparse vectors of their words, ``tf * ln((1 + N) / (1 + df))``, where
-``df`` counts the files of the whole corpus whose statements hold the word. A statement is compared with the templates
+one more statement. Statements and templates are sparse vectors of their words, ``tf * ln(1 + (1 + N) / (1 + df))``, where
+``df`` counts the statements of all files that hold the word, and ``N`` all statements. A statement is compared with the templates
 through a join on words, and takes the best template at a cosine of ``least`` or more. A file takes the best of its statements.
 
 A file without a licence of its own inherits: every directory knows the licence of its licence file (the best, then the
@@ -52,7 +52,8 @@ def scan(files: DataFrame, least: float = LEAST) -> DataFrame:
         F.col("doc_id"), path.alias("path"), F.regexp_extract(path, r"^(.*)/[^/]*$", 1).alias("folder"), name.rlike(NAMED).alias("named"),
         F.filter(F.array_distinct(F.concat(lines, whole)), lambda x: x != "").alias("statements"),
     )
-    rows = stored(rows, "license-statements")
+    # A statement travels once with its text; everywhere else its digest stands for it.
+    rows = stored(rows.withColumn("keys", F.transform("statements", lambda x: F.unhex(F.md5(x)))), "license-statements")
     best = stored(_matches(rows, least), "license-matches")
     own = _owned(rows, best)
     return _inherited(stored(own, "license-own"))
@@ -63,11 +64,14 @@ def _terms(text: Column) -> Column:
 
 
 def _matches(rows: DataFrame, least: float) -> DataFrame:
-    """statement, license, score of each distinct statement that is near enough to a template."""
+    """key, license, score of each distinct statement that is near enough to a template."""
     spark = rows.sparkSession
-    held = rows.select(F.explode("statements").alias("statement")).groupBy("statement").agg(F.count(F.lit(1)).alias("files"))
-    words = stored(held.select("statement", "files", F.explode(_terms(F.col("statement"))).alias("term")).groupBy("statement", "files", "term").agg(F.count(F.lit(1)).alias("tf")), "license-terms")
-    total = held.agg(F.sum("files").alias("total"))
+    said = rows.select(F.explode(F.arrays_zip("keys", "statements")).alias("s")).select("s.keys", "s.statements").toDF("key", "statement")
+    held = said.groupBy("key").agg(F.count(F.lit(1)).alias("files"), F.first("statement").alias("statement"))
+    # Still partitioned by the digest, so counting the words of a statement needs no exchange.
+    words = held.select("key", "files", F.explode(_terms(F.col("statement"))).alias("term")).groupBy("key", "files", "term").agg(F.count(F.lit(1)).alias("tf"))
+    words = stored(words, "license-terms")
+    total = said.agg(F.count(F.lit(1)).alias("total"))
     idf = (
         words.groupBy("term").agg(F.sum("files").alias("df")).crossJoin(F.broadcast(total))  # one row
         .select("term", F.log((1 + F.col("total")) / (1 + F.col("df")) + 1).alias("idf"))
@@ -78,19 +82,19 @@ def _matches(rows: DataFrame, least: float) -> DataFrame:
     templates = templates.join(idf, "term", "left").crossJoin(F.broadcast(unseen))  # one row
     templates = templates.select("license", "term", (F.col("tf") * F.coalesce("idf", "unseen", F.lit(1.0))).alias("tw"))
     templates = templates.withColumn("tn", F.sqrt(F.sum(F.col("tw") * F.col("tw")).over(W.partitionBy("license"))))
-    weighted = words.join(idf, "term").select("statement", "term", (F.col("tf") * F.col("idf")).alias("sw"))
-    norms = weighted.groupBy("statement").agg(F.sqrt(F.sum(F.col("sw") * F.col("sw"))).alias("sn"))
+    weighted = words.join(idf, "term").select("key", "term", (F.col("tf") * F.col("idf")).alias("sw"))
+    norms = weighted.groupBy("key").agg(F.sqrt(F.sum(F.col("sw") * F.col("sw"))).alias("sn"))
     # The templates are a fixed list of a few hundred words.
-    dots = weighted.join(F.broadcast(templates), "term").groupBy("statement", "license").agg(F.sum(F.col("sw") * F.col("tw")).alias("dot"), F.max("tn").alias("tn"))
-    scores = dots.join(norms, "statement").withColumn("score", F.round(F.col("dot") / (F.col("tn") * F.col("sn")), 9)).where(F.col("score") >= least)
+    dots = weighted.join(F.broadcast(templates), "term").groupBy("key", "license").agg(F.sum(F.col("sw") * F.col("tw")).alias("dot"), F.max("tn").alias("tn"))
+    scores = dots.join(norms, "key").withColumn("score", F.round(F.col("dot") / (F.col("tn") * F.col("sn")), 9)).where(F.col("score") >= least)
     pick = F.min(F.struct((-F.col("score")).alias("down"), F.col("license")))
-    return scores.groupBy("statement").agg(pick.alias("v")).select("statement", "v.license", (-F.col("v.down")).alias("score"))
+    return scores.groupBy("key").agg(pick.alias("v")).select("key", "v.license", (-F.col("v.down")).alias("score"))
 
 
 def _owned(rows: DataFrame, best: DataFrame) -> DataFrame:
     """The rows with their own licence and score, null for none."""
-    numbered = rows.withColumn("row", F.xxhash64("doc_id", "path", "statements"))
-    pairs = numbered.select("row", F.explode("statements").alias("statement")).distinct().join(best, "statement")
+    numbered = rows.withColumn("row", F.xxhash64("doc_id", "path", "keys"))
+    pairs = numbered.select("row", F.explode("keys").alias("key")).distinct().join(best, "key")
     pick = F.min(F.struct((-F.col("score")).alias("down"), F.col("license")))
     found = pairs.groupBy("row").agg(pick.alias("v")).select("row", F.col("v.license").alias("license"), (-F.col("v.down")).alias("score"))
     return numbered.join(found, "row", "left").select("doc_id", "path", "folder", "named", "license", "score")
