@@ -7,16 +7,20 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.text import category_label, first_filled, or_dash
+from tallybook.functions.text import UNCATEGORIZED, first_filled, or_dash
+from tallybook.operators.ranges import in_custom
 
 
 def in_category(facts: DataFrame, label: str) -> DataFrame:
     """Rows of a category as reports name it, so ``Uncategorized`` finds the rows without one."""
-    return facts.filter(category_label(F.col("category")) == label)
+    named = F.col("category") == label
+    # Written so that the scan can take it: a comparison of the label itself reaches no file.
+    return facts.filter(F.col("category").isNull() | named if label == UNCATEGORIZED else named)
 
 
 def on_day(facts: DataFrame, day: date) -> DataFrame:
-    return facts.filter(F.col("post_date") == F.lit(day))
+    """Rows of a day; only its month's folders are read."""
+    return in_custom(facts, day, day)
 
 
 def detail_rows(facts: DataFrame) -> DataFrame:

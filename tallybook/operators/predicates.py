@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+from collections.abc import Iterable
 from functools import reduce
 from typing import Any
 
@@ -17,6 +18,30 @@ def _fold(value: Any, ignore_case: bool) -> Any:
     return value.lower() if ignore_case and isinstance(value, str) else value
 
 
+def _same(raw: Column, value: Any, ignore_case: bool) -> Column:
+    """Equal to a literal of any type. A column of another type is read as the literal's; what can't be read is unequal."""
+    if value is None:
+        return raw.isNull()
+    if isinstance(value, bool):
+        return raw.try_cast("boolean").eqNullSafe(F.lit(value))
+    if isinstance(value, int):
+        return raw.try_cast("decimal(38,10)").eqNullSafe(F.lit(value).cast("decimal(38,10)"))
+    if isinstance(value, float):
+        return raw.try_cast("double").eqNullSafe(F.lit(value))
+    text = raw.cast("string")
+    return (F.lower(text) if ignore_case else text).eqNullSafe(F.lit(_fold(str(value), ignore_case)))
+
+
+def _among(raw: Column, values: Iterable[Any], ignore_case: bool) -> Column:
+    """Texts in one list, other literals one by one; null is never among them."""
+    values = [v for v in values if v is not None]
+    texts = [_fold(v, ignore_case) for v in values if isinstance(v, str)]
+    text = raw.cast("string")
+    tests = [(F.lower(text) if ignore_case else text).isin(texts)] if texts else []
+    tests += [_same(raw, v, ignore_case) for v in values if not isinstance(v, str)]
+    return raw.isNotNull() & reduce(operator.or_, tests, F.lit(False))
+
+
 def predicate(spec: dict[str, Any]) -> Column:
     """Condition for one ``{column, op, value | values, case_insensitive}``; an unknown op is an error.
 
@@ -28,13 +53,13 @@ def predicate(spec: dict[str, Any]) -> Column:
     tested = F.lower(raw) if ignore_case else raw
 
     if op == "equals":
-        return tested.eqNullSafe(F.lit(_fold(spec["value"], ignore_case)))
+        return _same(raw, spec["value"], ignore_case)
     if op == "regex":
         return raw.cast("string").rlike(str(spec["value"]))
     if op in ("contains", "startswith", "endswith"):
         return getattr(tested.cast("string"), op)(F.lit(_fold(str(spec["value"]), ignore_case)))
     if op == "in":
-        return tested.isin([_fold(v, ignore_case) for v in spec["values"]])
+        return _among(raw, spec["values"], ignore_case)
     number = raw.try_cast("double")
     if op in _NUMERIC:
         return _NUMERIC[op](number, F.lit(float(spec["value"])))

@@ -8,6 +8,8 @@ reads a column that an earlier rule of the wave has written, so plans stay as sh
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
+from decimal import Decimal, InvalidOperation
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -83,6 +85,33 @@ def _natural_type(values: list[Any]) -> T.DataType:
     return T.StringType()
 
 
+def _fits(value: Any, kind: T.DataType) -> bool:
+    """Whether a column of the type can hold the literal, so that no row makes the job fail."""
+    if value is None or isinstance(kind, T.StringType):
+        return True
+    if isinstance(kind, T.BooleanType):
+        return isinstance(value, bool) or str(value).lower() in ("true", "false")
+    if isinstance(value, bool):
+        return False
+    if isinstance(kind, T.DateType):
+        try:
+            return isinstance(value, str) and bool(date.fromisoformat(value))
+        except ValueError:
+            return False
+    if not isinstance(kind, T.NumericType):
+        return False
+    try:
+        number = Decimal(str(value).strip())
+    except InvalidOperation:
+        return False
+    if not number.is_finite() or isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return number.is_finite()
+    if isinstance(kind, T.DecimalType):
+        return abs(number) < Decimal(10) ** (kind.precision - kind.scale)
+    bits = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31}.get(type(kind), 63)
+    return number == int(number) and -(1 << bits) <= number < 1 << bits
+
+
 def apply_priority_rules(
     df: DataFrame,
     rules: list[dict[str, Any]],
@@ -93,7 +122,7 @@ def apply_priority_rules(
 
     A rule with ``profiles`` applies to those profiles only: to the one named by ``profile`` if all rows are
     of one profile, else by ``profile_column`` row by row, so one pass serves every profile. With both None,
-    scopes are ignored.
+    scopes are ignored. A set that its column's type can't hold is an error that names the rule, before any job.
     """
     ordered = sort_rules(rules)
     if profile_column is not None and profile_column not in df.columns:
@@ -105,6 +134,12 @@ def apply_priority_rules(
             literals.setdefault(s["target"], []).append(s["value"])
     kinds = {t: df.schema[t].dataType if t in df.columns else _natural_type(v) for t, v in literals.items()}
     new = [t for t in literals if t not in df.columns]
+    misfits = [
+        f"rule {rule.get('id')}: {s['value']!r} does not fit {s['target']} ({kinds[s['target']].simpleString()})"
+        for rule in ordered for s in _sets(rule) if not _fits(s["value"], kinds[s["target"]])
+    ]
+    if misfits:
+        raise ValueError("; ".join(misfits))
 
     waves = _waves(ordered, profile, profile_column)
     stops = any(target is None for w in waves for _, target, _ in w.writes)

@@ -10,7 +10,6 @@ from tallybook.operators.first_match import categorize
 from tallybook.operators.rollups import category_monthly, fact_transactions
 from tallybook.operators.standardize import dedup_transactions, standardize
 from tallybook.sinks.exports import export_all
-from tallybook.sources.inbox import WHOLE_FILE_LIMIT
 from tallybook.sources.lake import (
     BY_PROFILE,
     Lake,
@@ -19,7 +18,6 @@ from tallybook.sources.lake import (
     read_fact,
     read_monthly,
     read_silver,
-    spread,
     write_table,
 )
 from tallybook.sources.rules import load_simple_rules
@@ -28,7 +26,7 @@ from tallybook.streaming.inbox_stream import ingest_inbox
 
 def build_silver(spark: SparkSession, lake: Lake, fmt: str = "parquet") -> None:
     """Bronze to silver, whole table."""
-    write_table(dedup_transactions(standardize(spread(read_bronze(spark, lake, fmt)))), lake.silver, fmt=fmt)
+    write_table(dedup_transactions(standardize(read_bronze(spark, lake, fmt))), lake.silver, fmt=fmt)
 
 
 def build_categorized(
@@ -60,13 +58,10 @@ def run_all(
     out: str,
     checkpoint: str,
     archive: str | None = None,
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
     fmt: str = "parquet",
 ) -> None:
     """Inbox to CSV exports."""
-    ingest_inbox(
-        spark, inbox, lake, checkpoint, archive, whole_file_limit=whole_file_limit, fmt=fmt
-    ).awaitTermination()
+    ingest_inbox(spark, inbox, lake, checkpoint, archive, fmt=fmt).awaitTermination()
     build_silver(spark, lake, fmt)
     build_categorized(spark, lake, load_simple_rules(spark, rules_dir), fmt)
     build_gold(spark, lake, fmt)

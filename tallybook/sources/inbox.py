@@ -3,7 +3,7 @@
 Work on a batch of files:
 
 1. fingerprint every file (``file_contents``) and drop contents already in the registry;
-2. read the header of each layout, then each layout's files with one CSV scan (``read_statements``);
+2. read the files of each layout (equal header lines) with one CSV scan (``read_statements``);
 3. canonicalize, tag with profile, file and fingerprint.
 
 Only file names and sizes of one batch reach the driver; a stream bounds them with ``maxFilesPerTrigger``.
@@ -11,20 +11,19 @@ Only file names and sizes of one batch reach the driver; a stream bounds them wi
 
 from __future__ import annotations
 
+import csv
 import posixpath
 import re
+from collections import Counter
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.operators.canonicalize import canonicalize
 from tallybook.schemas import BRONZE
 
-# Up to this size a file is hashed whole in one task; larger ones are hashed line by line in many tasks.
-WHOLE_FILE_LIMIT = 256 << 20
-
 _LINE_DIGEST_PARTS = 4
 
 
@@ -45,22 +44,12 @@ def _literal(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def _small_contents(spark: SparkSession, paths: list[str]) -> DataFrame:
-    files = spark.read.format("binaryFile").load([_literal(p) for p in paths])
-    head = F.substring("content", 1, 65536).cast("string")
-    return files.select(
-        F.col("_metadata.file_path").alias("uri"),
-        F.sha2("content", 256).alias("sha256"),
-        F.regexp_extract(head, r"([^\s\x{FEFF}][^\r\n]*)", 1).alias("header"),
-    )
-
-
-def line_digests(lines: DataFrame, by: str) -> DataFrame:
+def line_digests(lines: DataFrame, by: str, *more: Column) -> DataFrame:
     """Fingerprint of the lines of each ``by``, whatever their order: count and sums over pieces of SHA-256s.
 
     Sums split and merge freely, so one file of any size is fingerprinted by as many tasks as it has splits
     and only sums are shuffled. Two files with equal lines in another order count as equal content; they
-    hold the same transactions.
+    hold the same transactions. ``more`` are further named aggregates, taken in the same pass.
     """
     digest = F.sha2(F.col("value").cast("binary"), 256)
     pieces = [
@@ -70,28 +59,23 @@ def line_digests(lines: DataFrame, by: str) -> DataFrame:
     sums = [F.sum(p).alias(f"s{i}") for i, p in enumerate(pieces)]
     text = F.concat_ws("-", "n", *[f"s{i}" for i in range(_LINE_DIGEST_PARTS)])
     return (
-        lines.groupBy(by).agg(F.count("*").alias("n"), *sums).select(by, F.sha2(text, 256).alias("sha256"))
+        lines.groupBy(by).agg(F.count("*").alias("n"), *sums, *more)
+        .withColumn("sha256", F.sha2(text, 256)).drop("n", *[f"s{i}" for i in range(_LINE_DIGEST_PARTS)])
     )
 
 
-def _large_contents(spark: SparkSession, paths: list[str]) -> DataFrame:
-    lines = spark.read.text([_literal(p) for p in paths])
-    digests = line_digests(lines.select(F.col("_metadata.file_path").alias("uri"), "value"), "uri")
-    # Each large file is a layout of its own: its header is read when the file is.
-    return digests.select("uri", "sha256", F.col("uri").alias("header"))
-
-
-def file_contents(
-    spark: SparkSession, files: list[Row], whole_file_limit: int = WHOLE_FILE_LIMIT
-) -> DataFrame:
-    """profile_id, file, path, uri, length, sha256 and header text of files with path, uri and length."""
-    small = [f.path for f in files if f.length <= whole_file_limit]
-    large = [f.path for f in files if f.length > whole_file_limit]
-    parts = []
-    if small:
-        parts.append(_small_contents(spark, small))
-    if large:
-        parts.append(_large_contents(spark, large))
+def file_contents(spark: SparkSession, files: list[Row]) -> DataFrame:
+    """profile_id, file, path, uri, length, sha256 and header line of files with path, uri and length.
+
+    One pass over the lines of all files, whatever their size. The header is the first line that is not blank, as
+    written, however far down it stands; it is NULL for a file of blank lines. A file without any line is left out.
+    """
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
+    lines = spark.read.text([_literal(f.path) for f in files]).select(
+        F.col("_metadata.file_path").alias("uri"), "value", place.alias("place")
+    )
+    # Lines of one block are numbered in their order, and rows without a place are passed over by the minimum.
+    header = F.min_by("value", F.when(F.col("value").rlike(r"[^\s\x{FEFF}]"), F.col("place"))).alias("header")
     named = [
         (posixpath.basename(posixpath.dirname(f.path)), posixpath.basename(f.path), f.path, f.uri, f.length)
         for f in files
@@ -99,12 +83,12 @@ def file_contents(
     listing = spark.createDataFrame(
         named, "profile_id string, file string, path string, uri string, length long"
     )
-    return listing.join(reduce(DataFrame.unionByName, parts), "uri")
+    return listing.join(line_digests(lines, "uri", header), "uri")
 
 
 def first_of_each_content(files: DataFrame) -> DataFrame:
-    """One file for each content of a profile, the first by name. Copies are cut before they are shuffled."""
-    order = Window.partitionBy("profile_id", "sha256").orderBy("file")
+    """One file for each content of a profile, the first by name and path. Copies are cut before they are shuffled."""
+    order = Window.partitionBy("profile_id", "sha256").orderBy("file", *[c for c in ("path",) if c in files.columns])
     return files.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
 
 
@@ -114,8 +98,11 @@ def new_contents(files: DataFrame, registry: DataFrame) -> DataFrame:
     return first_of_each_content(files).join(known, ["profile_id", "sha256"], "left_anti")
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.option("header", True).csv(_literal(path)).columns
+def header_names(line: str) -> list[str]:
+    """Column names of a header line, as Spark's CSV reader gives them: names that occur again get their position."""
+    names = next(csv.reader([line.removeprefix("\ufeff")]))
+    uses = Counter(n.lower() for n in names)
+    return [f"{n}{i}" if n and uses[n.lower()] > 1 else n or f"_c{i}" for i, n in enumerate(names)]
 
 
 def read_statements(spark: SparkSession, files: list[Row]) -> DataFrame | None:
@@ -130,8 +117,7 @@ def read_statements(spark: SparkSession, files: list[Row]) -> DataFrame | None:
 
     scans = []
     for members in layouts.values():
-        names = _header(spark, members[0].path)
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in header_names(members[0].header)])
         reader = spark.read.schema(schema).option("header", True)
         rows = reader.csv([_literal(m.path) for m in members])
         scans.append(canonicalize(rows.withColumn("__uri", F.col("_metadata.file_path")), keep=("__uri",)))

@@ -19,7 +19,8 @@ def rule_lines(spark: SparkSession, directory: str, pattern: str = "*.ndjson") -
     """Lines of the rule files of a directory: file, line (from 1), text (stripped)."""
     files = spark.read.option("pathGlobFilter", pattern).text(directory, wholetext=True)
     return files.select(
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"),
+        # The path is an URL, where a plus stands for itself.
+        F.url_decode(F.replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), F.lit("+"), F.lit("%2B"))).alias("file"),
         F.posexplode(F.split("value", "\r?\n")).alias("at", "text"),
     ).select("file", (F.col("at") + 1).alias("line"), F.trim(F.col("text"), F.lit(" \t\r\f\x0b")).alias("text"))
 

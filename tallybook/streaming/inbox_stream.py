@@ -12,15 +12,18 @@ partition overwrite, so a batch that is run again after a failure replaces its o
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallybook import schemas
-from tallybook.sources.inbox import WHOLE_FILE_LIMIT, describe_files, file_contents, new_contents, read_statements
+from tallybook.sources.inbox import _literal, describe_files, file_contents, new_contents, read_statements
 from tallybook.sources.lake import Lake, read_or_empty
 
 BATCHED = ("profile_id", "ingest_batch")
+_LOG = logging.getLogger(__name__)
 
 
 def ingest_files(
@@ -28,13 +31,12 @@ def ingest_files(
     files: list[Row],
     lake: Lake,
     batch: str,
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
     fmt: str = "parquet",
 ) -> int:
     """Bring files (path, uri, length) into bronze and the registry; returns the number of new contents."""
     if not files:
         return 0
-    hashed = file_contents(spark, files, whole_file_limit)
+    hashed = file_contents(spark, files)
     # One row for each file of the batch. Kept, so that no file is hashed twice.
     contents = spark.createDataFrame(hashed.collect(), hashed.schema)
     keys = contents.select("profile_id", "sha256")
@@ -45,12 +47,15 @@ def ingest_files(
         F.col("profile_id").isin(owners) & (F.col("ingest_batch") != batch)
     )
     known = registry.join(F.broadcast(keys), ["profile_id", "sha256"], "left_semi")
-    fresh = new_contents(contents, known).collect()
+    found = new_contents(contents, known).collect()
+    fresh = [f for f in found if f.header]
+    for f in found:
+        if not f.header:
+            _LOG.warning("no header, not loaded: %s", f.path)
     if not fresh:
         return 0
-    rows = read_statements(spark, fresh)
-    if rows is not None:
-        _overwrite(rows.withColumn("ingest_batch", F.lit(batch)).hint("rebalance", *BATCHED), lake.bronze, fmt)
+    rows = read_statements(spark, fresh).withColumn("ingest_batch", F.lit(batch))
+    _overwrite(rows.hint("rebalance", *BATCHED), lake.bronze, fmt)
     entries = spark.createDataFrame(
         [(f.file, f.sha256, f.length, f.profile_id, batch) for f in fresh],
         "file string, sha256 string, bytes long, profile_id string, ingest_batch string",
@@ -71,19 +76,18 @@ def ingest_inbox(
     checkpoint: str,
     archive: str | None = None,
     max_files: int = 1000,
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
     fmt: str = "parquet",
 ) -> StreamingQuery:
     """Start one run over everything new in ``inbox/<profile>/*.csv``; it ends by itself.
 
+    The folder below the inbox names the owner. Files elsewhere, deeper or right in the inbox, have none and stay unread.
+
     ``archive`` moves files away once their batch is committed, under their own path. A run moves the files
     of its last batch when the next run starts; the registry keeps the time of ingestion.
     """
     source = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
     )
     if archive is not None:
@@ -93,11 +97,11 @@ def ingest_inbox(
         files = batch.collect()  # names and sizes, at most max_files
         # Numbers start again with a new checkpoint; the query id, kept in the checkpoint, tells them apart.
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        ingest_files(batch.sparkSession, files, lake, f"{run}-{number:09d}", whole_file_limit, fmt)
+        ingest_files(batch.sparkSession, files, lake, f"{run}-{number:09d}", fmt)
 
     # Described before the batch function sees them: the content column is pruned and no file is read.
     return (
-        describe_files(source.load(inbox))
+        describe_files(source.load(f"{_literal(inbox)}/*/*.csv"))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
