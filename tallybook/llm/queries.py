@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybook.llm import decontaminate, licenses, mixing, neighbours, ngram_join, page_text, secrets, substrings, toxicity, url_filter
+from tallybook.llm import decontaminate, licenses, mixing, neighbours, ngram_join, page_text, periodic_runs, secrets, sql, substrings, toxicity, url_filter
 from tallybook.llm.tables import documents
 
 
@@ -46,7 +46,11 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.benchmark_hits(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_url_filter, op4_page_text, op5_neighbours, op6_mixing, op7_licenses, op8_substrings, op9_secrets, op10_decontaminate)}
+def op11_periodic_runs(spark, sf_dir):
+    return periodic_runs.periodic_runs(documents(spark, sf_dir)).drop("n_words", "runs")
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_url_filter, op4_page_text, op5_neighbours, op6_mixing, op7_licenses, op8_substrings, op9_secrets, op10_decontaminate, op11_periodic_runs)}
 
 _OP10 = """
 WITH w AS (
@@ -70,4 +74,4 @@ SELECT w.doc_id, CAST(coalesce(len(ws), 0) AS BIGINT) AS n_words, coalesce(n_hit
   coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
-SQL: dict[str, str] = {"op10_decontaminate": _OP10}
+SQL: dict[str, str] = {"op10_decontaminate": _OP10, "op11_periodic_runs": sql.RUNS}
