@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallybook.llm import decontaminate, licenses, mixing, neighbours, ngram_join, page_text, periodic_runs, secrets, sql, substrings, toxicity, url_filter
+from tallybook.llm import decontaminate, licenses, mixing, neighbours, ngram_join, page_text, periodic_runs, personal_data, secrets, spelling, sql, substrings, toxicity, url_filter
 from tallybook.llm.tables import documents
 
 
@@ -50,7 +50,15 @@ def op11_periodic_runs(spark, sf_dir):
     return periodic_runs.periodic_runs(documents(spark, sf_dir)).drop("n_words", "runs")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_url_filter, op4_page_text, op5_neighbours, op6_mixing, op7_licenses, op8_substrings, op9_secrets, op10_decontaminate, op11_periodic_runs)}
+def op12_personal_data(spark, sf_dir):
+    return personal_data.personal_spans(documents(spark, sf_dir))
+
+
+def op13_spelling(spark, sf_dir):
+    return spelling.variants(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_toxicity, op3_url_filter, op4_page_text, op5_neighbours, op6_mixing, op7_licenses, op8_substrings, op9_secrets, op10_decontaminate, op11_periodic_runs, op12_personal_data, op13_spelling)}
 
 _OP10 = """
 WITH w AS (
@@ -74,4 +82,4 @@ SELECT w.doc_id, CAST(coalesce(len(ws), 0) AS BIGINT) AS n_words, coalesce(n_hit
   coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
-SQL: dict[str, str] = {"op10_decontaminate": _OP10, "op11_periodic_runs": sql.RUNS}
+SQL: dict[str, str] = {"op10_decontaminate": _OP10, "op11_periodic_runs": sql.RUNS, "op13_spelling": sql.SPELLING}

@@ -37,3 +37,29 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, CAST(1000 *
   sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
 FROM d LEFT JOIN r USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+#: Near words by deleting one letter at each place.
+SPELLING = f"""
+WITH RECURSIVE {CRC},
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+hashed AS (SELECT run, {crc32("CAST(doc_id AS VARCHAR) || ':' || run")} AS h FROM runs, crc WHERE length(run) >= 7),
+words AS (
+  SELECT word, count(*) AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+cut AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT x.word, y.word AS near, y.n FROM cut x JOIN cut y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM cut x JOIN words y ON x.rest = y.word
+  UNION SELECT y.word, x.word, x.n FROM cut x JOIN words y ON x.rest = y.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-n, near)) AS near, max(n) AS near_n FROM near GROUP BY word),
+formed AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * words.n THEN near END AS form, CASE WHEN near_n >= 10 * words.n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root FROM formed WHERE form IS NULL
+  UNION ALL SELECT formed.word, chain.root FROM formed JOIN chain ON formed.form = chain.word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN chain USING (word)
+"""
