@@ -70,6 +70,7 @@ def file_contents(spark: SparkSession, files: list[Row]) -> DataFrame:
     One pass over the lines of all files, whatever their size. The header is the first line that is not blank, as
     written, however far down it stands; it is NULL for a file of blank lines. A file without any line is left out.
     """
+    files = list({f.uri: f for f in files}.values())  # a path named twice would be read twice
     place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
     lines = spark.read.text([_literal(f.path) for f in files]).select(
         F.col("_metadata.file_path").alias("uri"), "value", place.alias("place")

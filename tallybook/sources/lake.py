@@ -41,6 +41,14 @@ class Lake:
     def registry(self) -> str:
         return f"{self.root}/meta/file_registry"
 
+    @property
+    def contents(self) -> str:
+        return f"{self.root}/meta/file_contents"
+
+    @property
+    def folders(self) -> str:
+        return f"{self.root}/meta/fact_folders"
+
 
 # Partition columns of the lake tables.
 BY_PROFILE = ("profile_id",)

@@ -2,12 +2,13 @@
 
 A Structured Streaming file source finds new files; each micro-batch hashes them, drops known contents and
 writes bronze, then the registry. Both tables are partitioned by the batch number and written by dynamic
-partition overwrite, so a batch that is run again after a failure replaces its own output:
+partition overwrite, so a batch that is run again after a failure replaces its own output. The registry is the
+history of files and is only written; contents are looked up in a compacted index (``sources/contents.py``), whose entry
+commits the batch:
 
-* lost before bronze is complete: the rerun writes the same partitions again;
-* lost between bronze and registry: as above, since the contents are not registered yet;
-* lost after the registry: rows registered by the same batch do not count as known, so the rerun
-  computes and writes the same files once more.
+* lost before the commit: the rerun writes the same partitions again, since the contents are not known yet;
+* lost after it: contents of the same batch do not count as known, so the rerun computes and writes the same files
+  once more.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallybook import schemas
+from tallybook.sources.contents import commit_batch, known_contents
 from tallybook.sources.inbox import _literal, describe_files, file_contents, new_contents, read_statements
-from tallybook.sources.lake import Lake, read_or_empty
+from tallybook.sources.lake import Lake
 
 BATCHED = ("profile_id", "ingest_batch")
 _LOG = logging.getLogger(__name__)
@@ -34,19 +35,14 @@ def ingest_files(
     fmt: str = "parquet",
 ) -> int:
     """Bring files (path, uri, length) into bronze and the registry; returns the number of new contents."""
+    # The file source may hand a file of a batch twice; read twice, its lines would count twice.
+    files = list({f.uri: f for f in files}.values())
     if not files:
         return 0
     hashed = file_contents(spark, files)
     # One row for each file of the batch. Kept, so that no file is hashed twice.
     contents = spark.createDataFrame(hashed.collect(), hashed.schema)
-    keys = contents.select("profile_id", "sha256")
-    # The registry grows for ever: read the folders of these profiles, and reduce it to this batch's contents by
-    # a broadcast of the batch, so that it is never shuffled.
-    owners = [r.profile_id for r in keys.select("profile_id").distinct().collect()]
-    registry = read_or_empty(spark, lake.registry, schemas.REGISTRY, fmt).filter(
-        F.col("profile_id").isin(owners) & (F.col("ingest_batch") != batch)
-    )
-    known = registry.join(F.broadcast(keys), ["profile_id", "sha256"], "left_semi")
+    known = known_contents(spark, lake, contents, batch)
     found = new_contents(contents, known).collect()
     fresh = [f for f in found if f.header]
     for f in found:
@@ -61,6 +57,7 @@ def ingest_files(
         "file string, sha256 string, bytes long, profile_id string, ingest_batch string",
     ).withColumn("ingested_at", F.current_timestamp())
     _overwrite(entries.coalesce(1), lake.registry, fmt)
+    commit_batch(spark, lake, entries, batch)
     return len(fresh)
 
 
