@@ -2,6 +2,9 @@
 
 ``as_of`` stands for today. Left out, the newest date of the data takes its place, so a report over the same
 data gives the same result on any day.
+
+Bounds of facts come from the facts themselves or, with ``folders``, from the statistics that are kept for each of their
+folders (``sources/folders.py``), restricted in the same way as the facts: then no data file is opened for them.
 """
 
 from __future__ import annotations
@@ -19,12 +22,14 @@ def _folder(df: DataFrame) -> Column:
     return F.col("year") * 12 + F.col("month")
 
 
-def date_bounds(facts: DataFrame, foldered: bool = False) -> DataFrame:
+def date_bounds(facts: DataFrame, foldered: bool = False, folders: DataFrame | None = None) -> DataFrame:
     """One row: min_date, max_date.
 
-    ``foldered`` says that facts are read from a lake table with year and month folders. Then the outermost
+    ``folders`` are the statistics of the facts' folders. Without them, ``foldered`` says that facts are read from a lake table with year and month folders. Then the outermost
     months are found from the folders, and only their files are read for the days.
     """
+    if folders is not None:
+        return folders.agg(F.min("min_date").alias("min_date"), F.max("max_date").alias("max_date"))
     if foldered:
         months = facts.agg(F.struct(F.min(_folder(facts)).alias("lo"), F.max(_folder(facts)).alias("hi"))).scalar()
         facts = facts.filter((_folder(facts) == months["lo"]) | (_folder(facts) == months["hi"]))
@@ -32,7 +37,7 @@ def date_bounds(facts: DataFrame, foldered: bool = False) -> DataFrame:
 
 
 def preset_range(
-    facts: DataFrame, preset: str, as_of: date | None = None, foldered: bool = False
+    facts: DataFrame, preset: str, as_of: date | None = None, foldered: bool = False, folders: DataFrame | None = None
 ) -> DataFrame:
     """One row: from_date, to_date of a preset over these facts."""
     newest = F.col("max_date")
@@ -49,7 +54,7 @@ def preset_range(
     if preset not in ranges:
         raise ValueError(f"unknown preset {preset!r}; known are {', '.join(PRESETS)}")
     start, end = ranges[preset]
-    return date_bounds(facts, foldered).select(start.alias("from_date"), end.alias("to_date"))
+    return date_bounds(facts, foldered, folders).select(start.alias("from_date"), end.alias("to_date"))
 
 
 def _month_number(day: Column) -> Column:
@@ -65,10 +70,10 @@ def between_days(facts: DataFrame, start: Column, end: Column) -> DataFrame:
 
 
 def in_preset(
-    facts: DataFrame, preset: str, as_of: date | None = None, foldered: bool = False
+    facts: DataFrame, preset: str, as_of: date | None = None, foldered: bool = False, folders: DataFrame | None = None
 ) -> DataFrame:
     """Rows in a preset range. The range is a scalar subquery, so the report stays one lazy plan."""
-    days = preset_range(facts, preset, as_of, foldered).select(F.struct("from_date", "to_date")).scalar()
+    days = preset_range(facts, preset, as_of, foldered, folders).select(F.struct("from_date", "to_date")).scalar()
     return between_days(facts, days["from_date"], days["to_date"])
 
 
@@ -85,7 +90,7 @@ def month_of_range(start: date, end: date) -> str | None:
     return f"{start:%Y-%m}" if (start.year, start.month) == (end.year, end.month) else None
 
 
-def calendar_months(facts: DataFrame, foldered: bool = False) -> DataFrame:
+def calendar_months(facts: DataFrame, foldered: bool = False, folders: DataFrame | None = None) -> DataFrame:
     """Every month of the years the data covers, with a flag for months wholly outside it."""
     first = F.explode(
         F.sequence(
@@ -94,7 +99,7 @@ def calendar_months(facts: DataFrame, foldered: bool = False) -> DataFrame:
             F.expr("INTERVAL 1 MONTH"),
         )
     )
-    months = date_bounds(facts, foldered).select("min_date", "max_date", first.alias("first_day"))
+    months = date_bounds(facts, foldered, folders).select("min_date", "max_date", first.alias("first_day"))
     last = F.last_day("first_day")
     return months.select(
         F.year("first_day").alias("year"),

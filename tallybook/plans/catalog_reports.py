@@ -14,10 +14,13 @@ from tallybook.plans.testbed import (
     SHARES_SQL,
     customer_profiles,
     gold_facts,
+    gold_lake,
     order_ledger,
     plain,
     silver,
 )
+from tallybook.sources.folders import read_folder_statistics
+from tallybook.sources.lake import read_fact
 
 _F = f"WITH {FACTS_SQL}"
 _SPEND = "CAST(sum(-least(amount, 0)) AS DOUBLE)"
@@ -28,6 +31,16 @@ def _on_facts(report):
     return lambda spark, sf_dir: plain(report(gold_facts(spark, sf_dir)))
 
 
+def _on_folders(report):
+    """Reports that take bounds from the folder statistics."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake = gold_lake(spark, sf_dir)
+        return plain(report(read_fact(spark, lake), read_folder_statistics(spark, lake)))
+
+    return run
+
+
 def distinct_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.profiles_of(silver(spark, sf_dir))
 
@@ -46,6 +59,10 @@ def _range_query(pick):
     return lambda spark, sf_dir: plain(pick(gold_facts(spark, sf_dir)).select(*_RANGE_COLUMNS))
 
 
+def _preset_query(preset: str, as_of: date | None = None):
+    return _on_folders(lambda f, folders: ranges.in_preset(f, preset, as_of, folders=folders).select(*_RANGE_COLUMNS))
+
+
 def _range_sql(start: str, end: str) -> str:
     return f"""{_F}, b AS (SELECT min(post_date) AS lo, max(post_date) AS hi,
   least(max(post_date), DATE '{AS_OF}') AS as_of FROM facts)
@@ -114,24 +131,24 @@ SELECT category, CAST(total AS DOUBLE) AS total,
         _on_facts(lambda f: rollups.total_spend(drilldown.in_category(f, "Kitchen"))),
         f"{_F} SELECT {_SPEND} AS total_spend FROM facts WHERE category = 'Kitchen'",
     ),
-    "date_bounds": (_on_facts(lambda f: ranges.date_bounds(f, foldered=True)), f"{_F} SELECT min(post_date) AS min_date, max(post_date) AS max_date FROM facts"),
+    "date_bounds": (_on_folders(lambda f, folders: ranges.date_bounds(f, folders=folders)), f"{_F} SELECT min(post_date) AS min_date, max(post_date) AS max_date FROM facts"),
     "calendar_months": (
-        _on_facts(lambda f: ranges.calendar_months(f, foldered=True)),
+        _on_folders(lambda f, folders: ranges.calendar_months(f, folders=folders)),
         f"""{_F}, b AS (SELECT min(post_date) AS lo, max(post_date) AS hi FROM facts),
 m AS (SELECT lo, hi, CAST(unnest(generate_series(date_trunc('year', lo)::TIMESTAMP,
   (date_trunc('year', hi) + INTERVAL 11 MONTH)::TIMESTAMP, INTERVAL 1 MONTH)) AS DATE) AS d FROM b)
 SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, d AS first_day, last_day(d) AS last_day,
   last_day(d) < lo OR d > hi AS is_disabled FROM m""",
     ),
-    "range_last_7d": (_range_query(lambda f: ranges.in_preset(f, "7d", foldered=True)), _range_sql("hi - 6", "hi")),
+    "range_last_7d": (_preset_query("7d"), _range_sql("hi - 6", "hi")),
     "range_last_30d": (
-        _range_query(lambda f: ranges.in_preset(f, "30d", AS_OF, foldered=True)), _range_sql("as_of - 29", "as_of"),
+        _preset_query("30d", AS_OF), _range_sql("as_of - 29", "as_of"),
     ),
-    "range_mtd": (_range_query(lambda f: ranges.in_preset(f, "mtd", AS_OF, foldered=True)), _range_sql("date_trunc('month', as_of)", "as_of")),
-    "range_qtd": (_range_query(lambda f: ranges.in_preset(f, "qtd", AS_OF, foldered=True)), _range_sql("date_trunc('quarter', as_of)", "as_of")),
-    "range_ytd": (_range_query(lambda f: ranges.in_preset(f, "ytd", AS_OF, foldered=True)), _range_sql("date_trunc('year', as_of)", "as_of")),
-    "range_all": (_range_query(lambda f: ranges.in_preset(f, "all", foldered=True)), _range_sql("lo", "hi")),
-    "range_default": (_range_query(lambda f: ranges.in_preset(f, "default", foldered=True)), _range_sql("date_trunc('month', hi)", "last_day(hi)")),
+    "range_mtd": (_preset_query("mtd", AS_OF), _range_sql("date_trunc('month', as_of)", "as_of")),
+    "range_qtd": (_preset_query("qtd", AS_OF), _range_sql("date_trunc('quarter', as_of)", "as_of")),
+    "range_ytd": (_preset_query("ytd", AS_OF), _range_sql("date_trunc('year', as_of)", "as_of")),
+    "range_all": (_preset_query("all"), _range_sql("lo", "hi")),
+    "range_default": (_preset_query("default"), _range_sql("date_trunc('month', hi)", "last_day(hi)")),
     "range_month": (
         _range_query(lambda f: ranges.in_month(f, 2000, 2)), _range_sql("DATE '2000-02-01'", "DATE '2000-02-29'"),
     ),
@@ -161,5 +178,9 @@ WHERE profile_id IN (SELECT owner_profile_id FROM shares WHERE viewer_profile_id
 SELECT profile_id, CAST(sum(amount) AS DOUBLE) AS net, count(*) AS n FROM seen
 WHERE post_date >= (SELECT date_trunc('month', max(post_date)) FROM seen) GROUP BY profile_id""",
     ),
+    "folder_statistics": (
+        _on_folders(lambda f, folders: folders),
+        f"{_F} SELECT profile_id, year, month, count(*) AS rows, min(post_date) AS min_date, max(post_date) AS max_date FROM facts GROUP BY ALL",
+    ),
     "distinct_profiles": (distinct_profiles, "SELECT DISTINCT l_returnflag AS profile_id FROM lineitem JOIN part ON l_partkey = p_partkey"),
 }

@@ -7,14 +7,12 @@ from typing import Any
 from pyspark.sql import SparkSession
 
 from tallybook.operators.first_match import categorize
-from tallybook.operators.rollups import category_monthly, fact_transactions
 from tallybook.operators.standardize import dedup_transactions, standardize
+from tallybook.plans.incremental import refresh, write_gold
 from tallybook.sinks.exports import export_all
 from tallybook.sources.lake import (
-    BY_PROFILE,
     Lake,
     read_bronze,
-    read_categorized,
     read_fact,
     read_monthly,
     read_silver,
@@ -40,10 +38,8 @@ def build_categorized(
 
 
 def build_gold(spark: SparkSession, lake: Lake, fmt: str = "parquet") -> None:
-    """Fact table (no exchange), then monthly totals from the written facts, which are read by two columns."""
-    write_table(fact_transactions(read_categorized(spark, lake, fmt)), lake.fact, fmt=fmt, regroup=False)
-    # One folder for each profile: a profile has some thousand totals, a folder for each month a handful.
-    write_table(category_monthly(read_fact(spark, lake, fmt)), lake.monthly, by=BY_PROFILE, fmt=fmt)
+    """Labelled table to facts, monthly totals and folder statistics, whole tables."""
+    write_gold(spark, lake, fmt)
 
 
 def build_exports(spark: SparkSession, lake: Lake, out: str, fmt: str = "parquet") -> None:
@@ -58,11 +54,8 @@ def run_all(
     out: str,
     checkpoint: str,
     archive: str | None = None,
-    fmt: str = "parquet",
 ) -> None:
-    """Inbox to CSV exports."""
-    ingest_inbox(spark, inbox, lake, checkpoint, archive, fmt=fmt).awaitTermination()
-    build_silver(spark, lake, fmt)
-    build_categorized(spark, lake, load_simple_rules(spark, rules_dir), fmt)
-    build_gold(spark, lake, fmt)
-    build_exports(spark, lake, out, fmt)
+    """Inbox to CSV exports. Only folders that new statements fall into are built anew; changed rules label all of them."""
+    ingest_inbox(spark, inbox, lake, checkpoint, archive).awaitTermination()
+    refresh(spark, lake, load_simple_rules(spark, rules_dir))
+    build_exports(spark, lake, out)

@@ -16,6 +16,7 @@ from tallybook.operators.rollups import fact_transactions
 from tallybook.operators.standardize import standardize
 from tallybook.plans.scratch import shared_folder
 from tallybook.schemas import MONEY
+from tallybook.sources.folders import folder_statistics, note_folders
 from tallybook.sources.lake import Lake, read_fact, spread, write_table
 
 
@@ -94,14 +95,19 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _GOLD: dict[tuple[str, str], Lake] = {}
 
 
-def gold_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``facts`` as the reports meet them: a lake table in month folders, written once in a session."""
+def gold_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """``facts`` as the reports meet them: a lake table in month folders with statistics, written once in a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _GOLD:
         lake = Lake(shared_folder(spark, "gold"))
         write_table(facts(spark, sf_dir), lake.fact)
+        note_folders(spark, lake, folder_statistics(read_fact(spark, lake)))
         _GOLD[key] = lake
-    return read_fact(spark, _GOLD[key])
+    return _GOLD[key]
+
+
+def gold_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_fact(spark, gold_lake(spark, sf_dir))
 
 
 def plain(df: DataFrame) -> DataFrame:

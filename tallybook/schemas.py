@@ -60,6 +60,9 @@ MONTHLY = _struct(
     profile_id=_S, year=_I, month=_I, category=_S, subcategory=_S, total_amount=T.DecimalType(28, 4),
 )
 
+# One row for each folder of the fact table; in this order, as the first column is never NULL.
+FOLDERS = _struct(profile_id=_S, year=_I, month=_I, rows=T.LongType(), min_date=_D, max_date=_D)
+
 REGISTRY = _struct(
     file=_S, sha256=_S, bytes=T.LongType(), ingested_at=T.TimestampType(), profile_id=_S, ingest_batch=_S,
 )
