@@ -19,11 +19,25 @@ def _string_array(values: list[str | None]) -> Column:
     return F.array(*[F.lit(v).cast("string") for v in values])
 
 
-def _stamp(rule: dict[str, Any]) -> str:
+def stamp_of(rule: dict[str, Any]) -> str:
     sub = rule.get("subcategory")
     return f"set_category:{rule['id']}:{rule.get('category')}" + (f"/{sub}" if sub else "")
 
 
+#: The columns that rules set, with their types.
+LABELS = {"category": "string", "subcategory": "string", "applied_rules": _STRINGS, "operation": "string"}
+
+
+def with_ids(rules: list[dict[str, Any]]) -> list[dict[str, Any]]:
+    return [{**r, "id": r.get("id") or f"rule_{i}"} for i, r in enumerate(rules)]
+
+
+def incoming_labels(df: DataFrame, keep_existing: bool) -> list[Column]:
+    """The labels a table comes with, or none."""
+    kept = set(df.columns) if keep_existing else set()
+    return [(F.col(name) if name in kept else F.lit(None).cast(kind)).alias(name) for name, kind in LABELS.items()]
+
+
 def categorize(df: DataFrame, rules: list[dict[str, Any]], keep_existing: bool = True) -> DataFrame:
     """Set category, subcategory, applied_rules and operation by an ordered list of regex rules.
 
@@ -34,16 +48,9 @@ def categorize(df: DataFrame, rules: list[dict[str, Any]], keep_existing: bool =
     category that has one. With ``keep_existing`` false, earlier labels are dropped first, so that changed
     rules label everything anew.
     """
-    rules = [{**r, "id": r.get("id") or f"rule_{i}"} for i, r in enumerate(rules)]
-    kinds = {"category": "string", "subcategory": "string", "applied_rules": _STRINGS, "operation": "string"}
-
-    def incoming(name: str) -> Column:
-        if keep_existing and name in df.columns:
-            return F.col(name)
-        return F.lit(None).cast(kinds[name])
-
-    others = [c for c in df.columns if c not in kinds]
-    labels = [incoming(name).alias(name) for name in kinds]
+    rules = with_ids(rules)
+    others = [c for c in df.columns if c not in LABELS]
+    labels = incoming_labels(df, keep_existing)
     if not rules:
         return df.select(*others, *labels)
 
@@ -69,7 +76,7 @@ def categorize(df: DataFrame, rules: list[dict[str, Any]], keep_existing: bool =
         decisive = F.coalesce(F.get(F.array(*[F.lit(i) for i in with_category]).cast("array<int>"), place), F.lit(-1))
 
     category = F.coalesce(F.col("category"), of(decisive, [r.get("category") for r in rules]))
-    stamp = F.coalesce(F.col("operation"), of(first, [_stamp(r) for r in rules]))
+    stamp = F.coalesce(F.col("operation"), of(first, [stamp_of(r) for r in rules]))
 
     # The subcategory of the deciding rule; before it, the last matching rule without a category may set one.
     subcategory = [of(decisive, [r.get("subcategory") for r in rules])]

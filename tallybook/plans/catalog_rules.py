@@ -12,6 +12,7 @@ from tallybook.operators import rule_checks
 from tallybook.operators.first_match import categorize
 from tallybook.operators.predicates import condition
 from tallybook.operators.priority import apply_priority_rules
+from tallybook.operators.rule_index import categorize_indexed
 from tallybook.operators.rule_tables import normalize_rules
 from tallybook.plans.scratch import shared_folder
 from tallybook.plans.testbed import (
@@ -110,6 +111,33 @@ def categorize_rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(categorize(silver(spark, sf_dir), rules).select(*LABELS))
 
 
+def part_rules(spark: SparkSession, sf_dir: str) -> list[dict[str, Any]]:
+    """Two kinds of rules, well over a thousand: one for each name and brand of the parts, one for each kind of thing and brand."""
+    pairs = table(spark, sf_dir, "part").select("p_name", "p_brand").distinct().orderBy("p_name", "p_brand").collect()
+    exact = [
+        {"id": f"a:{r.p_name}:{r.p_brand}", "value": rf"^\s*{r.p_name}\s+{r.p_brand}$", "category": r.p_name.split()[-1],
+         "subcategory": None if r.p_name.split()[0] in ("red", "blue") else r.p_name.split()[0]}
+        for r in pairs
+    ]
+    kinds = sorted({(r.p_name.split()[-1], r.p_brand) for r in pairs})
+    broad = [
+        {"id": f"b:{kind}:{brand}", "value": rf"(?i)\b{kind.upper()}\b.*{brand}\b", "category": kind, "subcategory": brand}
+        for kind, brand in kinds
+    ]
+    return [*exact, *broad]
+
+
+def categorize_many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = categorize_indexed(silver(spark, sf_dir), part_rules(spark, sf_dir))
+    return plain(labelled.select("txn_id", "profile_id", "category", "subcategory", "applied_rules", "operation"))
+
+
+_MANY_SQL = f"""WITH {SILVER_SQL}, words AS (
+  SELECT *, split_part(trim(description), ' ', 1) AS head, split_part(trim(description), ' ', 2) AS kind, regexp_extract(description, 'Brand#\\d+') AS brand FROM silver),
+r AS (SELECT *, 'a:' || head || ' ' || kind || ':' || brand AS a, CASE WHEN head NOT IN ('red', 'blue') THEN head END AS sub FROM words)
+SELECT txn_id, profile_id, kind AS category, coalesce(sub, brand) AS subcategory, a || ',b:' || kind || ':' || brand AS applied_rules,
+  'set_category:' || a || ':' || kind || coalesce('/' || sub, '') AS operation FROM r"""
+
 _LABELS_SQL = f"WITH {SILVER_SQL}{categorized_sql()} SELECT txn_id, profile_id, {{}} FROM categorized"
 
 # ------------------------------------------------------------------------------------------ predicates
@@ -421,6 +449,7 @@ QUERIES = {
     "categorize_rule_table": (
         categorize_rule_table, _LABELS_SQL.format("category, subcategory, applied_rules, operation")
     ),
+    "categorize_many_rules": (categorize_many_rules, _MANY_SQL),
     **{name: _predicate_query(name) for name in PREDICATES},
     "rules_priority_overwrite": (_priority_query(OVERWRITE_RULES), _OVERWRITE_SQL),
     "rules_stop_after_match": (_priority_query(STOP_RULES), _STOP_SQL),
