@@ -7,8 +7,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.money import signed_amount, to_money
-from tallybook.schemas import CANONICAL, MONEY, ROLE_ALIASES
+from tallybook.functions.money import not_read, signed_amount, to_money
+from tallybook.schemas import MONEY, ROLE_ALIASES, UNREAD
 
 
 def role_columns(header: list[str]) -> dict[str, str]:
@@ -23,8 +23,11 @@ def role_columns(header: list[str]) -> dict[str, str]:
     return found
 
 
-def canonicalize(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Select post_date, description, amount, currency, account_id and balance (then ``keep``) from ``raw``."""
+def canonicalize(raw: DataFrame, keep: tuple[str, ...] = (), with_unread: bool = False) -> DataFrame:
+    """Select post_date, description, amount, currency, account_id and balance (then ``keep``) from ``raw``.
+
+    ``with_unread`` adds what stood in the amount columns and was not read, NULL for nearly all rows.
+    """
     roles = role_columns(raw.columns)
 
     def column(role: str) -> Column | None:
@@ -45,4 +48,15 @@ def canonicalize(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         "account_id": text("account_id"),
         "balance": F.lit(None).cast(MONEY) if balance is None else to_money(balance),
     }
-    return raw.select(*[values[name].alias(name) for name in CANONICAL.names], *[F.col(k) for k in keep])
+    if with_unread:
+        read = ("credit", "debit", "balance") if amount is None else ("amount", "balance")
+        faults = [not_read(role, column(role)) for role in read if role in roles]
+        found = F.array_compact(F.array(*faults)) if faults else F.array()
+        values["unread"] = F.when(F.size(found) > 0, found).cast(UNREAD)
+    return raw.select(*[value.alias(name) for name, value in values.items()], *[F.col(k) for k in keep])
+
+
+def unread_values(bronze: DataFrame) -> DataFrame:
+    """One row for each value of a statement that was not read as it stands; few, and cut out of bronze by a pushed filter."""
+    some = bronze.filter(F.col("unread").isNotNull())
+    return some.select("profile_id", "ingest_batch", "source_file", "source_sha256", "post_date", "description", F.explode("unread").alias("u")).select("*", "u.*").drop("u")

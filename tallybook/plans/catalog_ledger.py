@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.functions.dates import with_parsed_date
-from tallybook.functions.money import signed_amount
-from tallybook.operators.canonicalize import canonicalize
+from tallybook.functions.money import money_text, signed_amount, to_money
+from tallybook.operators.canonicalize import canonicalize, unread_values
 from tallybook.operators.first_match import categorize
 from tallybook.operators.rollups import category_monthly, fact_transactions, spend_only
 from tallybook.operators.standardize import dedup_transactions, standardize
@@ -93,6 +93,42 @@ def signed_amount_debit_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(sides.select("l_orderkey", "l_linenumber", signed_amount(c("credit"), c("debit")).alias("amount")))
 
 
+def amounts_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of up to 15 digits before the point and 8 behind it, read and written again."""
+    whole = (F.col("l_orderkey") * 1000003 + F.col("l_linenumber")) * 98765 % 10**15
+    text = F.concat(whole.cast("string"), F.lit("."), F.lpad((F.col("l_partkey") * 7919 * 10 % 10**8).cast("string"), 8, "0"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", text.alias("written"))
+    return lines.select("l_orderkey", "l_linenumber", "l_partkey", money_text(to_money(F.col("written"))).alias("amount"))
+
+
+def unread_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What statements hold in amount columns that is no amount, beside the rows themselves."""
+    odd = F.when(F.col("l_quantity") == 1, "n/a").when(F.col("l_quantity") == 2, "1,234.50").when(F.col("l_quantity") == 3, "0.000000001")
+    odd = odd.when(F.col("l_quantity") == 4, "99999999999999999999999999").otherwise(F.col("l_extendedprice").cast("string"))
+    raw = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("profile_id"),
+        F.lit("b-1").alias("ingest_batch"),
+        F.concat(F.lit("f"), "l_suppkey", F.lit(".csv")).alias("source_file"),
+        F.lit("").alias("source_sha256"),
+        F.col("l_shipdate").cast("date").cast("string").alias("Posting Date"),
+        F.col("l_linestatus").alias("Details"),
+        odd.alias("Amount"),
+        F.when(F.col("l_discount") == 0, "--").alias("Balance"),
+    )
+    keep = ("profile_id", "ingest_batch", "source_file", "source_sha256")
+    return unread_values(canonicalize(raw, keep, with_unread=True))
+
+
+UNREAD_SQL = """WITH raw AS (
+  SELECT l_returnflag AS profile_id, 'b-1' AS ingest_batch, 'f' || l_suppkey || '.csv' AS source_file, '' AS source_sha256,
+    CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS post_date, l_linestatus AS description, l_quantity, l_discount FROM lineitem)
+SELECT * EXCLUDE (l_quantity, l_discount), 'amount' AS role,
+  CASE l_quantity WHEN 1 THEN 'n/a' WHEN 2 THEN '1,234.50' WHEN 3 THEN '0.000000001' ELSE '99999999999999999999999999' END AS text,
+  CASE l_quantity WHEN 3 THEN 'rounded' WHEN 4 THEN 'too large' ELSE 'no number' END AS reason
+FROM raw WHERE l_quantity IN (1, 2, 3, 4)
+UNION ALL SELECT * EXCLUDE (l_quantity, l_discount), 'balance', '--', 'no number' FROM raw WHERE l_discount = 0"""
+
+
 def canonicalize_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three whole tables with three kinds of header, in one canonical shape."""
     single = table(spark, sf_dir, "lineitem").select(
@@ -341,6 +377,12 @@ QUERIES = {
         "SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'O' THEN l_extendedprice WHEN l_quantity = 1 THEN 0.0"
         " ELSE -l_extendedprice END AS amount FROM lineitem",
     ),
+    "amounts_lossless": (
+        amounts_lossless,
+        """SELECT l_orderkey, l_linenumber, l_partkey, regexp_replace(CAST((l_orderkey * 1000003 + l_linenumber) * 98765 % 1000000000000000 AS VARCHAR) || '.' ||
+         lpad(CAST(l_partkey * 79190 % 100000000 AS VARCHAR), 8, '0'), '(\\.\\d+?)0+$', '\\1') AS amount FROM lineitem""",
+    ),
+    "unread_amounts": (unread_amounts, UNREAD_SQL),
     "canonicalize_headers": (
         canonicalize_headers,
         """SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS post_date, l_returnflag AS description,

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Money is exact: sums do not depend on task order, and three-decimal currencies keep their last digit.
-# Up to 18 digits a decimal is stored as one long, in memory and in Parquet.
-MONEY = T.DecimalType(18, 4)
+# Money is exact: sums do not depend on task order. 22 digits before the point and 8 behind it hold amounts in any
+# currency, and prices of small units; a sum of any number of them still fits into 38 digits.
+MONEY = T.DecimalType(30, 8)
 
 # Header names accepted for each role, compared in lower case. The order of a list is the
 # order of preference, whatever the order of the columns in the file.
@@ -31,10 +31,11 @@ def _struct(**fields: T.DataType) -> T.StructType:
 _S, _I, _D, _B = T.StringType(), T.IntegerType(), T.DateType(), T.BooleanType()
 _IDS = T.ArrayType(_S)
 
-CANONICAL = _struct(post_date=_S, description=_S, amount=MONEY, currency=_S, account_id=_S, balance=MONEY)
+# Values of a statement that are no amount, or not exactly the amount that was read: the role of the column, the text, and why.
+UNREAD = T.ArrayType(_struct(role=_S, text=_S, reason=_S))
 
 BRONZE = _struct(
-    post_date=_S, description=_S, amount=MONEY, currency=_S, account_id=_S, balance=MONEY,
+    post_date=_S, description=_S, amount=MONEY, currency=_S, account_id=_S, balance=MONEY, unread=UNREAD,
     source_file=_S, source_sha256=_S, profile_id=_S, ingest_batch=_S,
 )
 
@@ -57,7 +58,7 @@ FACT = _struct(
 )
 
 MONTHLY = _struct(
-    profile_id=_S, year=_I, month=_I, category=_S, subcategory=_S, total_amount=T.DecimalType(28, 4),
+    profile_id=_S, year=_I, month=_I, category=_S, subcategory=_S, total_amount=T.DecimalType(38, 8),
 )
 
 # One row for each folder of the fact table; in this order, as the first column is never NULL.

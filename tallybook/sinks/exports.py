@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.functions.money import money_text
 from tallybook.operators.rollups import spend_only
 
 # Columns of the exported files.
@@ -21,10 +22,10 @@ def write_csv_by_profile(df: DataFrame, path: str) -> None:
     """Write ``path/profile=<id>/*.csv`` with header.
 
     A profile becomes one file, unless it is so large that adaptive execution splits it over several tasks.
-    Decimals are written as doubles, e.g. ``-850.0``.
+    Amounts are written with all their digits, e.g. ``-850.0``.
     """
     money = [f.name for f in df.schema if f.dataType.typeName() == "decimal"]
-    rows = df.withColumns({c: F.col(c).cast("double") for c in money}).withColumn("profile", F.col("profile_id"))
+    rows = df.withColumns({c: money_text(F.col(c)) for c in money}).withColumn("profile", F.col("profile_id"))
     rows.hint("rebalance", "profile").write.mode("overwrite").partitionBy("profile").option("header", True).csv(path)
 
 

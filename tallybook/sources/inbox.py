@@ -121,7 +121,7 @@ def read_statements(spark: SparkSession, files: list[Row]) -> DataFrame | None:
         schema = T.StructType([T.StructField(n, T.StringType()) for n in header_names(members[0].header)])
         reader = spark.read.schema(schema).option("header", True)
         rows = reader.csv([_literal(m.path) for m in members])
-        scans.append(canonicalize(rows.withColumn("__uri", F.col("_metadata.file_path")), keep=("__uri",)))
+        scans.append(canonicalize(rows.withColumn("__uri", F.col("_metadata.file_path")), keep=("__uri",), with_unread=True))
     if not scans:
         return None
     # A name and a hash for each file of the batch: bounded by the batch, so small enough for every task.
