@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import operator
 from collections.abc import Iterable
+from decimal import Decimal, InvalidOperation
 from functools import reduce
 from typing import Any
 
@@ -29,16 +30,37 @@ def _same(raw: Column, value: Any, ignore_case: bool) -> Column:
     if isinstance(value, float):
         return raw.try_cast("double").eqNullSafe(F.lit(value))
     text = raw.cast("string")
-    return (F.lower(text) if ignore_case else text).eqNullSafe(F.lit(_fold(str(value), ignore_case)))
+    spelled = (F.lower(text) if ignore_case else text).eqNullSafe(F.lit(_fold(str(value), ignore_case)))
+    number = None if ignore_case else _number(str(value))
+    if number is None:
+        return spelled
+    # The type of the column is known when the plan is made, so one of the branches is all that is left of this.
+    as_number = raw.try_cast("decimal(38,10)").eqNullSafe(F.lit(number).cast("decimal(38,10)"))
+    as_double = raw.try_cast("double").eqNullSafe(F.lit(float(number)))
+    kind = F.typeof(raw)
+    return F.when(kind.isin("float", "double"), as_double).when(kind.rlike(_EXACT), as_number).otherwise(spelled)
+
+
+_EXACT = "^(tinyint|smallint|int|bigint|decimal.*)$"
+
+
+def _number(text: str) -> str | None:
+    """The text, if it is a number that a number column can be compared with."""
+    try:
+        value = Decimal(text.strip())
+    except InvalidOperation:
+        return None
+    return text.strip() if value.is_finite() and abs(value) < 10**28 else None
 
 
 def _among(raw: Column, values: Iterable[Any], ignore_case: bool) -> Column:
-    """Texts in one list, other literals one by one; null is never among them."""
+    """Texts in one list, other literals, and texts that are numbers, one by one; null is never among them."""
     values = [v for v in values if v is not None]
-    texts = [_fold(v, ignore_case) for v in values if isinstance(v, str)]
+    plain = [v for v in values if isinstance(v, str) and (ignore_case or _number(v) is None)]
+    texts = [_fold(v, ignore_case) for v in plain]
     text = raw.cast("string")
     tests = [(F.lower(text) if ignore_case else text).isin(texts)] if texts else []
-    tests += [_same(raw, v, ignore_case) for v in values if not isinstance(v, str)]
+    tests += [_same(raw, v, ignore_case) for v in values if v not in plain or not isinstance(v, str)]
     return raw.isNotNull() & reduce(operator.or_, tests, F.lit(False))
 
 

@@ -1,16 +1,19 @@
 """Checks on rule text: the lint report and the small Python helpers behind it.
 
 Whether a text is JSON, or a pattern compiles, is asked of Python, in Arrow batches over rule lines only. No
-transaction row passes through these helpers.
+transaction row passes through these helpers. Patterns run in Java, whose language differs a little (``(?P<x>a)`` is none),
+so each different pattern is also compiled there, once, on the driver, where rules become column expressions anyway.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +47,26 @@ def regex_error(pattern: pd.Series) -> pd.Series:
     return pattern.map(check)
 
 
+def java_faults(spark: SparkSession, patterns: Iterable[str]) -> dict[str, str]:
+    """What Java says about those of the patterns that it can't compile."""
+    faults = {}
+    for pattern in patterns:
+        try:
+            spark._jvm.java.util.regex.Pattern.compile(pattern)
+        except IllegalArgumentException as refused:
+            faults[pattern] = str(refused).split(" near index ")[0].splitlines()[0]
+    return faults
+
+
+def java_fault(rows: DataFrame, pattern: str) -> Column:
+    """The message for a column of patterns, NULL for those that compile. Runs over the different patterns of ``rows`` at once."""
+    texts = [r[0] for r in rows.select(pattern).where(F.col(pattern).isNotNull()).distinct().collect()]
+    faults = java_faults(rows.sparkSession, texts)
+    if not faults:
+        return F.lit(None).cast("string")
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in faults.items() for x in pair]), F.col(pattern))
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def generic_errors(text: pd.Series) -> pd.Series:
     """All faults of a priority rule: JSON, missing fields, logic, patterns."""
@@ -86,7 +109,8 @@ def _rule_rows(lines: DataFrame) -> DataFrame:
 
 def lint_errors(lines: DataFrame) -> DataFrame:
     """One row for each fault of a first-match rule file: file, line, kind, detail."""
-    rows = _rule_rows(lines).withColumn("regex_error", regex_error(F.col("pattern")))
+    rows = _rule_rows(lines)
+    rows = rows.withColumns({"regex_error": regex_error(F.col("pattern")), "java_fault": java_fault(rows, "pattern")})
     parsed = F.col("json_error").isNull()
 
     def fault(when: Column, kind: str, detail: Column) -> Column:
@@ -99,6 +123,7 @@ def lint_errors(lines: DataFrame) -> DataFrame:
         ],
         fault(parsed & (F.lower("op") != "regex"), "unsupported_op", F.col("op")),
         fault(parsed & F.col("regex_error").isNotNull(), "regex_does_not_compile", F.col("regex_error")),
+        fault(parsed & F.col("regex_error").isNull() & F.col("java_fault").isNotNull(), "regex_not_for_java", F.col("java_fault")),
     )
     return (
         rows.select("file", "line", F.explode(faults).alias("fault"))
@@ -109,9 +134,18 @@ def lint_errors(lines: DataFrame) -> DataFrame:
 
 def lint_generic_errors(lines: DataFrame) -> DataFrame:
     """One row for each fault of a priority rule file: file, line, detail."""
-    return lines.filter(F.col("text") != "").select(
-        "file", "line", F.explode(generic_errors(F.col("text"))).alias("detail")
-    )
+    filled = lines.filter(F.col("text") != "")
+    faults = filled.select("file", "line", F.explode(generic_errors(F.col("text"))).alias("detail"))
+    patterns = generic_patterns(filled)
+    for_java = F.concat(F.lit("pattern is not for Java: "), java_fault(patterns, "pattern"))
+    return faults.unionByName(patterns.select("file", "line", for_java.alias("detail")).where("detail IS NOT NULL"))
+
+
+def generic_patterns(lines: DataFrame) -> DataFrame:
+    """file, line, pattern of the regex predicates of priority rules that Python can compile."""
+    tests = F.explode(F.from_json(F.get_json_object("text", "$.match"), "array<struct<op:string,value:string>>"))
+    patterns = lines.select("file", "line", tests.alias("m")).where("m.op = 'regex'").select("file", "line", F.col("m.value").alias("pattern"))
+    return patterns.where(regex_error(F.col("pattern")).isNull())
 
 
 def lint_warnings(lines: DataFrame) -> DataFrame:

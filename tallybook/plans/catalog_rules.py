@@ -152,6 +152,10 @@ PREDICATES: dict[str, list[tuple[str, dict[str, Any], str]]] = {
         ("against_null", {"match": [{"column": "merchant", "op": "equals", "value": "x"}]}, "FALSE"),
         ("number", {"match": [{"column": "month", "op": "equals", "value": 7}]}, "month = 7"),
         ("flag", {"match": [{"column": "is_transfer", "op": "equals", "value": False}]}, "TRUE"),
+        ("text_on_number", {"match": [{"column": "month", "op": "equals", "value": "07"}]}, "month = 7"),
+        ("text_on_decimal", {"match": [{"column": "amount", "op": "equals", "value": "-12000"}]}, "amount = -12000"),
+        ("text_on_text", {"match": [{"column": "account_id", "op": "equals", "value": "07"}]}, "account_id = '07'"),
+        ("word_on_number", {"match": [{"column": "month", "op": "equals", "value": "July"}]}, "FALSE"),
     ],
     "pred_contains": [
         ("exact", {"match": [{"column": "name", "op": "contains", "value": "widget"}]}, "name LIKE '%widget%'"),
@@ -187,6 +191,7 @@ PREDICATES: dict[str, list[tuple[str, dict[str, Any], str]]] = {
         ("folded", {"match": [{"column": "account_id", "op": "in", "values": ["ACC-1", "acc-3"], "case_insensitive": True}]},
          "account_id IN ('ACC-1', 'ACC-3')"),
         ("on_null", {"match": [{"column": "merchant", "op": "in", "values": ["x"]}]}, "FALSE"),
+        ("text_on_number", {"match": [{"column": "month", "op": "in", "values": ["1", "02.0", "May", 6]}]}, "month IN (1, 2, 6)"),
     ],
     "pred_compare": [
         ("gt", {"match": [{"column": "amount", "op": "gt", "value": 0}]}, "amount > 0"),
@@ -315,7 +320,7 @@ def rule_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id": F.concat(F.lit("rule-"), "p_name"),
         "description": F.col("p_type"),
         "op": F.when(size == 2, F.lit("contains")).otherwise(F.lit("regex")),
-        "value": F.when(size == 3, F.lit("(")).otherwise(F.concat("p_name", F.lit(".*"), "p_brand")),
+        "value": F.when(size == 3, F.lit("(")).when(size == 8, F.lit("(?P<kind>rod)")).otherwise(F.concat("p_name", F.lit(".*"), "p_brand")),
         "category": F.when(size != 1, F.col("p_type")),
         "subcategory": F.when(size != 6, F.col("p_brand")),
     }
@@ -331,22 +336,22 @@ def rule_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _RULES_CTE = """rule_rows AS (
   SELECT p_brand || '.ndjson' AS file, CAST(p_partkey + 1 AS INTEGER) AS line, p_size, 'rule-' || p_name AS id,
-    CASE WHEN p_size = 3 THEN '(' ELSE p_name || '.*' || p_brand END AS value, p_type, p_brand, p_name
+    CASE p_size WHEN 3 THEN '(' WHEN 8 THEN '(?P<kind>rod)' ELSE p_name || '.*' || p_brand END AS value, p_type, p_brand, p_name
   FROM part WHERE p_size NOT IN (5, 7))"""
 
 
 def rule_lint_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages of the JSON and regex checks are those of Python and are left out."""
+    """Messages of Python's JSON and regex checks differ between its releases and are left out."""
     faults = rule_checks.lint_errors(rule_text(spark, sf_dir))
-    own_words = F.col("kind").isin("missing_field", "unsupported_op")
+    own_words = ~F.col("kind").isin("invalid_json", "regex_does_not_compile")
     return faults.select("file", "line", "kind", F.when(own_words, F.col("detail")).alias("detail"))
 
 
 LINT_ERRORS_SQL = f"""WITH {_RULES_CTE}
 SELECT file, line, kind, detail FROM (
   SELECT file, line, CASE p_size WHEN 1 THEN 'missing_field' WHEN 2 THEN 'unsupported_op'
-    WHEN 3 THEN 'regex_does_not_compile' WHEN 4 THEN 'invalid_json' WHEN 6 THEN 'missing_field' END AS kind,
-    CASE p_size WHEN 1 THEN 'category' WHEN 2 THEN 'contains' WHEN 6 THEN 'subcategory' END AS detail FROM rule_rows)
+    WHEN 3 THEN 'regex_does_not_compile' WHEN 4 THEN 'invalid_json' WHEN 6 THEN 'missing_field' WHEN 8 THEN 'regex_not_for_java' END AS kind,
+    CASE p_size WHEN 1 THEN 'category' WHEN 2 THEN 'contains' WHEN 6 THEN 'subcategory' WHEN 8 THEN 'Unknown inline modifier' END AS detail FROM rule_rows)
 WHERE kind IS NOT NULL"""
 
 
@@ -373,7 +378,7 @@ def rules_load_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LOAD_SIMPLE_SQL = f"""WITH {_RULES_CTE}
 SELECT file, line, id, 'name' AS "column", value, CASE WHEN p_size <> 1 THEN p_type END AS category,
-  CASE WHEN p_size <> 6 THEN p_brand END AS subcategory, p_size IN (2, 3) AS is_rejected
+  CASE WHEN p_size <> 6 THEN p_brand END AS subcategory, p_size IN (2, 3, 8) AS is_rejected
 FROM rule_rows WHERE p_size <> 4"""
 
 

@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybook.operators.rule_checks import generic_errors, json_error, regex_error
+from tallybook.operators.rule_checks import generic_errors, java_fault, json_error, lint_generic_errors, regex_error
 from tallybook.schemas import GENERIC_RULE
 
 def rule_lines(spark: SparkSession, directory: str, pattern: str = "*.ndjson") -> DataFrame:
@@ -52,9 +52,10 @@ def simple_rules(lines: DataFrame) -> DataFrame:
     bad_op = F.when(F.lower("op") != "regex", F.concat(F.lit("only op 'regex' is supported, got: "), F.col("op")))
     no_value = F.when(F.col("value").isNull(), F.lit("missing field: value"))
     bad_regex = F.concat(F.lit("regex does not compile: "), regex_error(F.col("value")))
+    not_for_java = F.concat(F.lit("pattern is not for Java: "), java_fault(fields, "value"))
     return fields.select(
         "file", "line", "id", "column", "op", "value", "category", "subcategory",
-        F.coalesce(bad_json, bad_op, no_value, bad_regex).alias("error"),
+        F.coalesce(bad_json, bad_op, no_value, bad_regex, not_for_java).alias("error"),
     )
 
 
@@ -96,6 +97,7 @@ def load_generic_rules(spark: SparkSession, directory: str, pattern: str = "*.nd
     """Rules for ``apply_priority_rules``, in (priority, id) order, last one read winning for each id."""
     read = generic_rules(rule_lines(spark, directory, pattern))
     _reject(read.filter(F.col("error").isNotNull()).orderBy("file", "line").collect())
+    _reject(lint_generic_errors(read).select("file", "line", F.col("detail").alias("error")).orderBy("file", "line").collect())
     rows = (
         latest_rules(read.select("file", "line", "text", F.col("rule.id").alias("id"), "rule.priority"))
         .orderBy("priority", "id")
