@@ -56,6 +56,18 @@ def canonicalize(raw: DataFrame, keep: tuple[str, ...] = (), with_unread: bool =
     return raw.select(*[value.alias(name) for name, value in values.items()], *[F.col(k) for k in keep])
 
 
+def canonical_rows(texts: DataFrame, one_amount: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """As ``canonicalize`` with ``unread``, for rows of different layouts: a text column for each role, NULL where a row's
+    layout lacks it. ``one_amount`` says whether that has an amount column; else debit and credit count."""
+    amount = F.when(one_amount, to_money(F.col("amount"))).otherwise(signed_amount(F.col("credit"), F.col("debit")))
+    one = {"amount": one_amount, "credit": ~one_amount, "debit": ~one_amount, "balance": F.lit(True)}
+    found = F.array_compact(F.array(*[F.when(counts, not_read(role, F.col(role))) for role, counts in one.items()]))
+    return texts.select(
+        "post_date", "description", amount.alias("amount"), "currency", "account_id", to_money(F.col("balance")).alias("balance"),
+        F.when(F.size(found) > 0, found).cast(UNREAD).alias("unread"), *keep,
+    )
+
+
 def unread_values(bronze: DataFrame) -> DataFrame:
     """One row for each value of a statement that was not read as it stands; few, and cut out of bronze by a pushed filter."""
     some = bronze.filter(F.col("unread").isNotNull())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,8 +51,16 @@ def standardize(bronze: DataFrame, century_pivot: int = CENTURY_PIVOT) -> DataFr
     )
 
 
-def dedup_transactions(silver: DataFrame) -> DataFrame:
-    """One row for each transaction key.
+KEY = ("txn_id", "profile_id", "post_date")
+SOURCE = ("source_file", "source_sha256")
+
+
+def _survivors_first(silver: DataFrame) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in SURVIVOR_ORDER if c in silver.columns]
+
+
+def dedup_transactions(silver: DataFrame, repeats: bool = False) -> DataFrame:
+    """One row for each transaction key; with ``repeats``, one for each real occurrence (see ``reconcile_repeats``).
 
     Profile and date are part of the key's text, so grouping by them too changes nothing, except that a
     chance collision of two 64-bit keys, which happens at trillions of rows, loses no transaction.
@@ -61,6 +69,28 @@ def dedup_transactions(silver: DataFrame) -> DataFrame:
     many copies leaves each map task as a single row. The order is total: the survivor never depends on
     how rows were spread over tasks.
     """
-    order = [F.col(c).asc_nulls_last() for c in SURVIVOR_ORDER if c in silver.columns]
-    copies = Window.partitionBy("txn_id", "profile_id", "post_date").orderBy(*order)
+    if repeats:
+        return reconcile_repeats(silver)
+    copies = Window.partitionBy(*KEY).orderBy(*_survivors_first(silver))
     return silver.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").drop("__copy")
+
+
+def reconcile_repeats(silver: DataFrame) -> DataFrame:
+    """Silver with real repeats kept: each key as often as the one file that holds it most often; ``occurrence`` counts from 1.
+
+    Two equal purchases on one day stand twice in the same statement and stay two. The same statement sent again, or another
+    one that overlaps it, adds nothing. So occurrences are numbered within a file, and of the same occurrence of a key in
+    several files one row survives, as in ``dedup_transactions``.
+
+    Rows that are equal in every column are counted before they are shuffled, so neither a key with very many copies
+    nor a file that was sent very often makes a large group; they become rows again where they are output.
+    """
+    columns = silver.columns
+    counted = silver.groupBy(*columns).agg(F.count(F.lit(1)).alias("__times"))
+    in_file = Window.partitionBy(*KEY, *[c for c in SOURCE if c in columns]).orderBy(*_survivors_first(silver), *[F.col(c) for c in columns])
+    upto = F.sum("__times").over(in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = counted.withColumn("__upto", upto).select(
+        *columns, F.explode(F.sequence((F.col("__upto") - F.col("__times") + 1).cast("int"), F.col("__upto").cast("int"))).alias("occurrence")
+    )
+    copies = Window.partitionBy(*KEY, "occurrence").orderBy(*_survivors_first(silver))
+    return numbered.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").drop("__copy")

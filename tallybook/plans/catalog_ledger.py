@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -166,6 +167,35 @@ def dedup_transactions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(clean.select("txn_id", "profile_id", "post_date", "amount", "description", "balance"))
 
 
+def dedup_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three statements that overlap: one has every payment twice, one every large receipt three times."""
+    once = ledger(spark, sf_dir)
+
+    def sent(name: str, balance: float | None, rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"source_file": F.lit(name), "source_sha256": F.lit(name), "balance": F.lit(balance).cast(MONEY)})
+
+    paid, large = once.filter("amount < 0"), once.filter("amount > 50000")
+    files = [sent("a", None, once), sent("a", 1.5, paid), sent("b", 2.5, once), sent("b", 3.5, large.unionByName(large)), sent("c", 0.5, once)]
+    clean = dedup_transactions(standardize(reduce(DataFrame.unionByName, files)), repeats=True)
+    return plain(clean.select("txn_id", "profile_id", "post_date", "amount", "balance", "source_file", "occurrence"))
+
+
+REPEATS_SQL = f"""WITH {LEDGER_SQL},
+sent AS (
+  SELECT * EXCLUDE (balance), 'a' AS source_file, CAST(NULL AS DOUBLE) AS balance FROM ledger
+  UNION ALL SELECT * EXCLUDE (balance), 'a', 1.5 FROM ledger WHERE amount < 0
+  UNION ALL SELECT * EXCLUDE (balance), 'b', 2.5 FROM ledger
+  UNION ALL SELECT ledger.* EXCLUDE (balance), 'b', 3.5 FROM ledger, range(2) WHERE amount > 50000
+  UNION ALL SELECT * EXCLUDE (balance), 'c', 0.5 FROM ledger),
+silver AS (SELECT {SILVER_COLUMNS_SQL} FROM sent),
+numbered AS (SELECT *, row_number() OVER (
+  PARTITION BY txn_id, profile_id, post_date, source_file ORDER BY balance NULLS LAST, amount, description) AS occurrence FROM silver),
+ranked AS (SELECT *, row_number() OVER (
+  PARTITION BY txn_id, profile_id, post_date, occurrence ORDER BY balance NULLS LAST, amount, description, source_file) AS n FROM numbered)
+SELECT txn_id, profile_id, post_date, CAST(amount AS DOUBLE) AS amount, balance, source_file, CAST(occurrence AS INTEGER) AS occurrence
+FROM ranked WHERE n = 1"""
+
+
 DEDUP_SQL = f"""WITH {LEDGER_SQL},
 doubled AS (
   SELECT * FROM ledger UNION ALL BY NAME
@@ -393,6 +423,7 @@ QUERIES = {
          FROM orders UNION ALL SELECT NULL, c_name, 0.0, NULL, NULL, c_acctbal FROM customer""",
     ),
     "dedup_transactions": (dedup_transactions_query, DEDUP_SQL),
+    "dedup_repeats": (dedup_repeats, REPEATS_SQL),
     "fact_transactions": (fact_query, f"WITH {FACTS_SQL} SELECT {FACT_COLUMNS_SQL} FROM facts"),
     "category_monthly": (
         category_monthly_query,
