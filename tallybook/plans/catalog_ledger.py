@@ -31,10 +31,10 @@ from tallybook.plans.testbed import (
     silver,
     table,
 )
-from tallybook.schemas import MONEY
+from tallybook.schemas import MONEY, REGISTRY
 from tallybook.sinks.exports import TRANSACTION_COLUMNS, export_all
 from tallybook.sources.inbox import line_digests, new_contents
-from tallybook.sources.lake import Lake, read_bronze, read_fact, read_monthly, spread, write_table
+from tallybook.sources.lake import Lake, read_bronze, read_fact, read_monthly, read_table, spread, write_table
 from tallybook.sources.reference_data import read_taxonomy
 from tallybook.streaming.inbox_stream import ingest_inbox
 
@@ -268,8 +268,8 @@ sums AS (
 SELECT uri, sha256(concat_ws('-', n, s0, s1, s2, s3)) AS sha256 FROM sums"""
 
 
-def write_inbox(spark: SparkSession, sf_dir: str, inbox: str) -> None:
-    """The ledger as statement files: money out with debit and credit columns, money in with one amount."""
+def statement_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The ledger as statements: money out with debit and credit columns, money in with one amount."""
     rows = ledger(spark, sf_dir).withColumn("owner", F.col("profile_id"))
     sided = rows.filter("amount < 0").select(
         F.col("post_date").alias("Date"),
@@ -287,9 +287,17 @@ def write_inbox(spark: SparkSession, sf_dir: str, inbox: str) -> None:
         F.col("account_id").alias("Account"),
         "owner",
     )
-    for part in (sided, single):
-        writer = part.hint("rebalance", "owner").write.mode("append").partitionBy("owner").option("header", True)
-        writer.option("ignoreLeadingWhiteSpace", False).csv(inbox)
+    return sided, single
+
+
+def write_statements(part: DataFrame, inbox: str) -> None:
+    writer = part.hint("rebalance", "owner").write.mode("append").partitionBy("owner").option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).csv(inbox)
+
+
+def write_inbox(spark: SparkSession, sf_dir: str, inbox: str) -> None:
+    for part in statement_parts(spark, sf_dir):
+        write_statements(part, inbox)
 
 
 def inbox_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,6 +382,28 @@ SELECT profile_id AS profile, profile_id, txn_id, account_id, currency, trim(nam
 FROM facts"""
 
 
+def export_monthly_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _exports(spark, sf_dir)
+    schema = "profile_id string, year int, month int, category string, subcategory string, total_amount double, profile string"
+    return spark.read.schema(schema).option("header", True).csv(f"{out}/category_monthly")
+
+
+def inbox_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements of two runs: what the first has loaded is archived when the second starts. Rows of the archived files, by
+    owner, for files that the registry knows."""
+    root = shared_folder(spark, "archive")
+    lake = Lake(f"{root}/lake")
+    for part in statement_parts(spark, sf_dir):
+        write_statements(part, f"{root}/inbox")
+        ingest_inbox(spark, f"{root}/inbox", lake, f"{root}/checkpoint", f"{root}/archive").awaitTermination()
+    # Below the archive files keep their whole path.
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(f"{root}/archive")
+    owner = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), r"/([^/]+)/[^/]+$", 1)
+    archived = lines.where(~F.col("value").startswith("Date,")).groupBy(owner.alias("profile_id"), F.col("_metadata.file_name").alias("file")).count()
+    known = read_table(spark, lake.registry, REGISTRY).select("profile_id", "file")
+    return archived.join(known, ["profile_id", "file"], "left_semi").groupBy("profile_id").agg(F.sum("count").alias("rows"))
+
+
 def export_spend_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _exports(spark, sf_dir)
     schema = "profile_id string, year int, month int, category string, subcategory string, spend double, profile string"
@@ -443,7 +473,15 @@ QUERIES = {
         f" FROM facts) SELECT {FACT_COLUMNS_SQL} FROM numbered WHERE n = 1",
     ),
     "lake_roundtrip_monthly": (lake_roundtrip_monthly, MONTHLY_SQL),
+    "inbox_archive": (
+        inbox_archive,
+        f"WITH {LEDGER_SQL} SELECT 'owner=' || profile_id AS profile_id, count(*) AS rows FROM ledger WHERE amount < 0 GROUP BY 1",
+    ),
     "export_roundtrip": (export_roundtrip, EXPORT_SQL),
+    "export_monthly_roundtrip": (
+        export_monthly_roundtrip,
+        _MONTHLY_FROM_FACTS + " SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount), profile_id AS profile FROM monthly",
+    ),
     "export_spend_roundtrip": (
         export_spend_roundtrip,
         _MONTHLY_FROM_FACTS + " SELECT profile_id, year, month, category, subcategory,"

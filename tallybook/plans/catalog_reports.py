@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from datetime import date
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.operators import access, drilldown, ranges, rollups
+from tallybook.plans.scratch import shared_folder
 from tallybook.plans.testbed import (
     FACTS_SQL,
     ORDERS_SQL,
@@ -18,9 +20,13 @@ from tallybook.plans.testbed import (
     order_ledger,
     plain,
     silver,
+    table,
 )
+from tallybook.schemas import SHARES
+from tallybook.sinks.exports import export_share_index
 from tallybook.sources.folders import read_folder_statistics
 from tallybook.sources.lake import read_fact
+from tallybook.sources.reference_data import load_profiles_yaml
 
 _F = f"WITH {FACTS_SQL}"
 _SPEND = "CAST(sum(-least(amount, 0)) AS DOUBLE)"
@@ -82,6 +88,23 @@ def share_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return access.share_index(customer_profiles(spark, sf_dir))
 
 
+def share_index_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share index as a file, read back."""
+    path = shared_folder(spark, "shares")
+    export_share_index(share_index(spark, sf_dir), path)
+    return spark.read.schema(SHARES).option("header", True).csv(path)
+
+
+def share_index_yaml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles from a YAML file: nations that share with their region, but for the first of each alphabet half."""
+    path = shared_folder(spark, "profiles")
+    share = F.when(F.col("n_nationkey") % 13 == 0, "").otherwise(F.concat(F.lit("\n    share_with: [R"), "n_regionkey", F.lit(", audit]")))
+    entry = F.concat(F.lit("  - id: N"), "n_nationkey", F.lit("\n    display_name: "), "n_name", share)
+    text = table(spark, sf_dir, "nation").agg(F.concat(F.lit("profiles:\n"), F.array_join(F.array_sort(F.collect_list(entry)), "\n")).alias("value"))
+    text.coalesce(1).write.text(path)
+    return access.share_index(load_profiles_yaml(spark, path))
+
+
 def viewer_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return access.owners_of(share_index(spark, sf_dir), "N7")
 
@@ -157,6 +180,12 @@ SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, d A
         _range_sql("DATE '1997-11-20'", "DATE '1998-01-05'"),
     ),
     "share_index": (share_index, f"WITH {SHARES_SQL} SELECT * FROM shares"),
+    "share_index_export": (share_index_export, f"WITH {SHARES_SQL} SELECT * FROM shares"),
+    **({} if find_spec("yaml") is None else {"share_index_yaml": (
+        share_index_yaml,
+        """SELECT 'N' || n_nationkey AS owner_profile_id, unnest(CASE WHEN n_nationkey % 13 = 0 THEN ['N' || n_nationkey]
+         ELSE ['N' || n_nationkey, 'R' || n_regionkey, 'audit'] END) AS viewer_profile_id FROM nation""",
+    )}),
     "viewers": (viewers, f"WITH {SHARES_SQL} SELECT DISTINCT viewer_profile_id FROM shares"),
     "viewer_owners": (
         viewer_owners, f"WITH {SHARES_SQL} SELECT DISTINCT owner_profile_id FROM shares WHERE viewer_profile_id = 'N7'"

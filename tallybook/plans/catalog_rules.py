@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from importlib.util import find_spec
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from tallybook.plans.testbed import (
     text_sql,
 )
 from tallybook.schemas import GENERIC_RULE
-from tallybook.sources.rules import generic_rules, latest_rules, load_generic_rules, load_simple_rules, simple_rules
+from tallybook.sources.rules import generic_rules, latest_rules, load_generic_rules, load_rules_yaml, load_simple_rules, simple_rules
 
 # ------------------------------------------------------------------------------------------ first match
 
@@ -373,13 +374,14 @@ def rules_load_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = simple_rules(rule_text(spark, sf_dir))
     return rules.select(
         "file", "line", "id", "column", "value", "category", "subcategory", F.col("error").isNotNull().alias("is_rejected")
-    ).filter("NOT is_rejected OR value IS NOT NULL")
+    )
 
 
 LOAD_SIMPLE_SQL = f"""WITH {_RULES_CTE}
 SELECT file, line, id, 'name' AS "column", value, CASE WHEN p_size <> 1 THEN p_type END AS category,
   CASE WHEN p_size <> 6 THEN p_brand END AS subcategory, p_size IN (2, 3, 8) AS is_rejected
-FROM rule_rows WHERE p_size <> 4"""
+FROM rule_rows WHERE p_size <> 4
+UNION ALL SELECT file, line, p_brand || ':' || line, 'name', NULL, NULL, NULL, TRUE FROM rule_rows WHERE p_size = 4"""
 
 
 def generic_rule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,6 +439,38 @@ def rules_load_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy("priority", "id")
 
 
+def rule_lint_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of priority rules, a line of text for every part; of Python's own messages only the kind is shown."""
+    size = F.col("p_size")
+    test = F.struct(F.lit("name").alias("column"), F.lit("regex").alias("op"),
+                    F.when(size == 3, "[").when(size == 5, "(?P<a>b)").otherwise(F.col("p_name")).alias("value"))
+    rule = F.struct(
+        F.when(size % 7 != 0, F.col("p_name")).alias("id"), F.when(size != 1, size).alias("priority"),
+        F.when(size == 2, "some").otherwise("all").alias("logic"), F.array(test).alias("match"), F.array().cast("array<string>").alias("actions"),
+    )
+    text = F.when(size == 4, F.substring(F.to_json(rule), 1, 20)).when(size == 6, "").otherwise(F.to_json(rule))
+    lines = table(spark, sf_dir, "part").select(F.concat("p_brand", F.lit(".ndjson")).alias("file"), (F.col("p_partkey") + 1).cast("int").alias("line"), text.alias("text"))
+    own = F.col("detail").rlike("^(invalid JSON|regex does not compile)")
+    return rule_checks.lint_generic_errors(lines).select("file", "line", F.when(own, F.substring_index("detail", ":", 1)).otherwise(F.col("detail")).alias("detail"))
+
+
+LINT_GENERIC_SQL = """WITH rows AS (SELECT p_brand || '.ndjson' AS file, CAST(p_partkey + 1 AS INTEGER) AS line, p_size FROM part WHERE p_size <> 6)
+SELECT file, line, 'invalid JSON' AS detail FROM rows WHERE p_size = 4
+UNION ALL SELECT file, line, 'missing field: id' FROM rows WHERE p_size % 7 = 0
+UNION ALL SELECT file, line, 'missing field: priority' FROM rows WHERE p_size = 1
+UNION ALL SELECT file, line, 'logic must be any or all, got: some' FROM rows WHERE p_size = 2
+UNION ALL SELECT file, line, 'regex does not compile' FROM rows WHERE p_size = 3
+UNION ALL SELECT file, line, 'pattern is not for Java: Unknown inline modifier' FROM rows WHERE p_size = 5"""
+
+
+def rules_yaml_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priority rules from a YAML file, applied."""
+    path = shared_folder(spark, "rules-yaml")
+    text = "rules:\n" + "".join(f"  - {json.dumps(r)}\n" for r in OVERWRITE_RULES)  # JSON values are YAML, too
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    return apply_priority_rules(silver(spark, sf_dir), load_rules_yaml(path, spark)).select(*RULE_OUTPUT)
+
+
 LOAD_LATEST_SQL = """WITH good AS (
   SELECT p_brand || '.ndjson' AS file, CAST(p_partkey + 1 AS INTEGER) AS line, 'rule-' || p_name AS id, p_size AS priority,
     CASE WHEN p_size % 2 = 0 THEN 'any' ELSE 'all' END AS logic, p_type AS category
@@ -462,6 +496,8 @@ QUERIES = {
     "rules_multi_set": (_priority_query(MULTI_SET_RULES, ("note", "score", "weight")), _MULTI_SQL),
     "rules_load_generic": (rules_load_generic, _OVERWRITE_SQL),
     "rule_lint_errors": (rule_lint_errors, LINT_ERRORS_SQL),
+    "rule_lint_generic": (rule_lint_generic, LINT_GENERIC_SQL),
+    **({} if find_spec("yaml") is None else {"rules_yaml_applied": (rules_yaml_applied, _OVERWRITE_SQL)}),
     "rule_lint_warnings": (rule_lint_warnings, LINT_WARNINGS_SQL),
     "rules_load_simple": (rules_load_simple, LOAD_SIMPLE_SQL),
     "rules_load_latest": (rules_load_latest, LOAD_LATEST_SQL),

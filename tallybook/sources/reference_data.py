@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.schemas import PROFILE
+from tallybook.sources.rules import read_yaml
 
 
 def profiles_table(spark: SparkSession, profiles: list[dict[str, Any]]) -> DataFrame:
@@ -20,12 +21,8 @@ def profiles_table(spark: SparkSession, profiles: list[dict[str, Any]]) -> DataF
 
 
 def load_profiles_yaml(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        import yaml
-    except ImportError as missing:
-        raise RuntimeError("reading YAML profiles needs PyYAML") from missing
-    with open(path, encoding="utf-8") as f:
-        return profiles_table(spark, yaml.safe_load(f)["profiles"])
+    """Profiles from a YAML file with a top-level ``profiles`` list, in any store."""
+    return profiles_table(spark, (read_yaml(path, spark) or {}).get("profiles", []))
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:

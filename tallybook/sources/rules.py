@@ -107,14 +107,21 @@ def load_generic_rules(spark: SparkSession, directory: str, pattern: str = "*.nd
     return [{**rule, "logic": str(rule["logic"]).lower()} for rule in (json.loads(r.text) for r in rows)]
 
 
-def load_rules_yaml(path: str) -> list[dict[str, Any]]:
-    """Priority rules from a YAML file with a top-level ``rules`` list."""
+def load_rules_yaml(path: str, spark: SparkSession | None = None) -> list[dict[str, Any]]:
+    """Priority rules from a YAML file with a top-level ``rules`` list, in any store if a session is given."""
+    return (read_yaml(path, spark) or {}).get("rules", [])
+
+
+def read_yaml(path: str, spark: SparkSession | None = None) -> Any:
+    """A configuration file, read where the driver is or, with a session, by Spark from any store."""
     try:
         import yaml
     except ImportError as missing:
-        raise RuntimeError("reading YAML rules needs PyYAML; NDJSON rules do not") from missing
+        raise RuntimeError("reading YAML needs PyYAML; NDJSON rules do not") from missing
+    if spark is not None:
+        return yaml.safe_load("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))
     with open(path, encoding="utf-8") as f:
-        return (yaml.safe_load(f) or {}).get("rules", [])
+        return yaml.safe_load(f)
 
 
 def rules_table(spark: SparkSession, rules: list[dict[str, Any]]) -> DataFrame:
