@@ -15,7 +15,7 @@ item longer than that has an automaton of its own windows, cut with an overlap o
 against one after the other. Benchmarks of any size work, in passes over a batch in memory.
 
 Defined cases: null and empty texts have no words and are clean; null items and items without words never match;
-repeated items each count; rows of ``docs`` are answered one by one, so repeated rows come back repeated; a null
+items of the same id count once; rows of ``docs`` are answered one by one, so repeated rows come back repeated; a null
 ``item_id`` is left out of the ids; an empty table of items or documents gives clean rows or none; further columns are ignored.
 """
 

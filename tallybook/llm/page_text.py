@@ -11,7 +11,9 @@ under many usual names. The generator knows each block's kind, so no hand labels
 same labeller.
 
 Defined cases: null and empty html, and pages without main blocks, give an empty text; tags left open or closed twice,
-upper-case tags and attributes without quotes are read; an unfinished tag at the end is dropped with what follows;
+upper-case tags and attributes without quotes are read; a head ends where something begins that it can't hold; a silent element
+that is never closed silences nothing; a quote that is not closed before the next tag is no quote, so its tag ends at the next ``>``;
+a tag that the page ends in is dropped;
 a page of any length is read whole; repeated rows come back repeated; further columns are ignored.
 """
 
@@ -41,10 +43,12 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("head iframe noscript script style svg template textarea title".split())
 RAW = frozenset("script style textarea title iframe".split())
+#: What a head may hold; anything else ends it.
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 #: An element that ends an open one of the same kind.
 ALONE = frozenset("dd dt li option p td th tr".split())
 
-_TAG = re.compile(r"<(?:!--(?P<note>.*?)(?:-->|\Z)|[!?][^>]*>|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z))", re.DOTALL)
+_TAG = re.compile(r"<(?:!--(?P<note>.*?)(?:-->|\Z)|[!?][^>]*>|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"<]*\"|'[^'<]*'|[^'\">]|[\"'])*+)(?:>|\Z))", re.DOTALL)
 _NAMES = re.compile(r"(?i)\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORD = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
@@ -59,6 +63,18 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     links = 0
     path: tuple[str, ...] = ()
     at, n = 0, len(page)
+    low = page.lower()
+    last_end = {name: low.rfind(f"</{name}") for name in SILENT - RAW - {"head"}}
+
+    def leave_head() -> None:
+        """A head whose end tag is left out ends where something else begins."""
+        nonlocal silent, path
+        for k, (name, _) in enumerate(stack):
+            if name == "head":
+                silent -= sum(t in SILENT for t, _ in stack[k:])
+                del stack[k:]
+                path = stack[-1][1] if stack else ()
+                break
 
     def close() -> None:
         nonlocal linked
@@ -71,6 +87,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
 
     def say(text: str) -> None:
         nonlocal linked
+        if silent and stack[-1][0] == "head" and text.strip():
+            leave_head()
         if text and not silent:
             texts.append(text)
             if links:
@@ -94,6 +112,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                 say(" ")
             continue
         close()
+        if silent and not m["end"] and name not in IN_HEAD:
+            leave_head()
         if m["end"]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
@@ -115,6 +135,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         for own in _NAMES.findall(m["rest"]):
             names += [f".{w}" for w in _WORD.findall("".join(own).lower())]
         path = (stack[-1][1] if stack else ()) + tuple(names)
+        if name in last_end and last_end[name] < at:
+            continue  # never closed: what follows is not its content
         stack.append((name, path))
         silent += name in SILENT
     close()
