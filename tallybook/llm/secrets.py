@@ -44,8 +44,9 @@ _KEY_BYTES = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghij
 #: Known digests: md5, sha-1, sha-224, sha-256, sha-384, sha-512 in hexadecimal.
 _DIGEST = re.compile(r"(?i)(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z")
 _UUID = re.compile(r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\Z")
-#: A name: parts of one case, or capitalized, with at most a few digits at the end of a part.
-_NAME = re.compile(r"(?:(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)[0-9]{0,4}(?:[_/=+-]+|\Z)){1,}\Z")
+#: A part of a name: letters of one case, or capitalized, or digits, with at most a few digits at its end.
+_PART = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)[0-9]{0,4}")
+_SEPARATORS = re.compile(r"[_/=+-]+")
 _PIECE = 4096
 
 
@@ -62,10 +63,16 @@ def characters_per_token(text: str, ranks: bytes) -> float:
     return len(text) / max(1, sum(len(encode(text[a : a + _PIECE])) for a in range(0, len(text), _PIECE)))
 
 
+def is_name(text: str) -> bool:
+    """Whether all parts between separators are those of names; each part is looked at by itself, so in linear time."""
+    parts = _SEPARATORS.split(text)
+    return all(_PART.fullmatch(p) for p in (parts[:-1] if len(parts) > 1 and not parts[-1] else parts))
+
+
 def is_random(text: str, ranks: bytes, most_ratio: float) -> bool:
     if not re.search("[0-9]", text) or not re.search("[A-Za-z]", text):
         return False
-    if _DIGEST.match(text) or _UUID.match(text) or _NAME.match(text):
+    if _DIGEST.match(text) or _UUID.match(text) or is_name(text):
         return False
     return characters_per_token(text, ranks) < most_ratio
 
