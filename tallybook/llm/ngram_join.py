@@ -11,8 +11,11 @@ Large groups of near copies would make all pairs. Only components are asked for,
 
 * stars: in each posting list every document meets a few pivots of the list. This is linear in the postings and joins
   a group of near copies into one component;
+  The first pivot of a list is the document in the middle of its near copies, the one whose prefix is most common;
 * the rest: each pair of a posting list whose documents still lie in different components meets, unless it has been
-  verified. Star rounds go on as long as they at least halve this rest, then all of it is verified. No pair is dropped.
+  verified. Star rounds go on as long as they at least halve this rest, then all of it is verified. No pair is dropped. In
+  lists of more than ``LONG_LIST`` documents no pairs are formed; what is left there is joined anew, with exact counts
+  (``_in_crowd``), where near copies that can't link drop out by themselves.
 
 Equal sets are one class before all this. Sets are compared in full (64-bit hashes of shingles).
 
@@ -24,7 +27,9 @@ with component null; an empty table gives an empty result; further columns are i
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallybook.llm.tables import components, merged, stored
+from tallybook.llm.tables import components, discard, merged, stored, unused
 from tallybook.llm.tokens import BLANKS, Words, pieces, shingles
 
 SHINGLE_WORDS = 3
@@ -44,6 +49,8 @@ _COUNTERS = 1 << 17
 #: Bits of the filter that spares most documents the last pass; it lets too many pass, never too few.
 _FILTER_BITS = 1 << 23
 _PIVOTS = 4
+#: In lists longer than this pairs are not formed; their documents are joined by prefixes in an exact order.
+LONG_LIST = 512
 
 
 def ngram_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -67,6 +74,7 @@ def ngram_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     )
     chosen = stored(_chosen(prefixes, percent), "ngram-chosen")
     links = _links(texts, chosen, words, percent)
+    discard(prefixes, chosen)
     # Rows of one class share its rep; rows that share a doc_id are tied by an edge between their classes.
     rows = members.join(classes, "key", "left")
     tied = rows.where("rep IS NOT NULL").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
@@ -127,38 +135,65 @@ def _chosen(prefixes: DataFrame, percent: int) -> DataFrame:
         F.struct((r * (1 + VERIFY_COST / m)).alias("cost"), F.lit(m).alias("need"))
         for m, r in enumerate(read, 1)
     ]
+    # A document whose whole prefix is common is in the middle of its near copies; these have shingles of their own.
+    middle = F.sum(F.log2("f")) / F.least("n", least + LONGEST_MATCH)
     kept = shared.groupBy("doc_id", "n").agg(
-        F.array_min(F.array(*cost))["need"].alias("need"), F.collect_list(F.struct("pos", "token")).alias("found")
+        F.array_min(F.array(*cost))["need"].alias("need"), F.collect_list(F.struct("pos", "token")).alias("found"),
+        middle.alias("middle"),
     )
     need = F.least("need", F.floor((percent * F.col("n") + 99) / 100)).cast("int")
     within = F.filter("found", lambda x: x["pos"] < least + F.col("need"))
-    return kept.withColumn("need", need).select("doc_id", "n", "need", F.transform(within, lambda x: x["token"]).alias("tokens"))
+    return kept.withColumn("need", need).select("doc_id", "n", "need", "middle", F.transform(within, lambda x: x["token"]).alias("tokens"))
 
 
 def _links(texts: DataFrame, chosen: DataFrame, words: int, percent: int) -> DataFrame:
     """Verified links (a, b) that hold every component together."""
-    sets = stored(_candidate_sets(texts, chosen, words), "ngram-candidates")
-    lists = chosen.select(F.explode("tokens").alias("token"), "doc_id", "n", "need")
-    seen = None
+    lists = chosen.select(F.explode("tokens").alias("token"), "doc_id", "n", "need", "middle")
+    seen, groups = None, None
     rest, turn = None, 0
+    fetched: list[DataFrame] = []
+
+    def sets_for(docs: DataFrame) -> DataFrame:
+        """Sets of these documents, and of others; each is fetched once."""
+        needed = docs
+        for sets in fetched:
+            needed = needed.join(sets.select("doc_id"), "doc_id", "left_anti")
+        needed = stored(needed, "ngram-needed")
+        fetched.append(stored(_sets_of(texts, needed, words), "ngram-candidates"))
+        discard(needed)
+        return reduce(DataFrame.union, fetched)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs not yet seen, joined to all that are; only sets of documents in a pair are ever fetched."""
+        pairs = stored(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "ngram-pairs")
+        found = _verified(pairs, sets_for(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()), percent)
+        now = stored(found if seen is None else seen.union(found), "ngram-verified")
+        discard(pairs, seen)
+        return now
+
     while True:
-        groups = None if seen is None else components(seen.where("links").select("a", "b"))
         now = lists if groups is None else lists.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         now = now.withColumn("component", F.coalesce("component", "doc_id") if groups is not None else F.col("doc_id"))
+        mixed = None
         if turn:
             mixed = stored(_mixed(now), "ngram-mixed")
             left = mixed.agg(F.sum("pairs")).first()[0] or 0
             if not left:
                 break
             if rest is not None and left > rest / 2 or left <= 2 * mixed.count():
-                pairs = _across(mixed, percent)
-                seen = seen.union(_verified(pairs.join(seen, ["a", "b"], "left_anti"), sets, percent))
+                short, crowd = _by_length(mixed)
+                seen = verified(_across(short, percent))
+                crowd = stored(crowd, "ngram-crowd")
+                if not crowd.isEmpty():
+                    seen = verified(_in_crowd(crowd, sets_for(crowd.select("doc_id")), percent))
+                discard(mixed, crowd)
                 break
             rest, now = left, mixed
-        pairs = _stars(now, chosen, turn, percent)
-        found = _verified(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), sets, percent)
-        seen = stored(found if seen is None else seen.union(found), "ngram-verified")
+        seen = verified(_stars(now, chosen, turn, percent))
+        discard(mixed)
+        groups = stored(components(seen.where("links").select("a", "b")), "ngram-groups")
         turn += 1
+    discard(*fetched)
     return seen.where("links")
 
 
@@ -169,12 +204,16 @@ def _sizes_fit(n: Column | str, m: Column | str, percent: int) -> Column:
 def _stars(lists: DataFrame, chosen: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs of each document with its list's pivot, if they share enough of their prefixes."""
     seed = F.pmod(F.col("token"), F.lit(_PIVOTS)) + turn * _PIVOTS
-    pivot = F.min(F.struct(F.xxhash64("doc_id", seed).alias("by"), F.col("doc_id").alias("p"), F.col("component").alias("pc")))
-    pivots = lists.groupBy("token").agg(pivot.alias("v")).select("token", "v.p", "v.pc")
-    pairs = (
-        lists.join(pivots, "token").where("component <> pc")
-        .select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b")).distinct()
-    )
+    first = F.lit(0.0) if turn else -F.col("middle")
+    by = F.struct(first.alias("first"), F.xxhash64("doc_id", seed).alias("by"), F.col("doc_id").alias("p"), F.col("component").alias("pc"), F.col("need").alias("pneed"))
+    pivots = lists.groupBy("token").agg(F.min(by).alias("v")).select("token", "v.p", "v.pc", "v.pneed")
+    met = lists.join(pivots, "token").where("component <> pc").groupBy(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b"))
+    # What two documents share is dealt to some pivots; pairs that meet too rarely for that wait for the rest.
+    pairs = met.agg(F.count(F.lit(1)).alias("lists"), F.min(F.least("need", "pneed")).alias("asked")).where(F.col("lists") * _PIVOTS >= F.col("asked"))
+    return _sharing_enough(pairs.select("a", "b"), chosen, percent)
+
+
+def _sharing_enough(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
     one = chosen.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("need").alias("la"), F.col("tokens").alias("ta"))
     two = chosen.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("need").alias("lb"), F.col("tokens").alias("tb"))
     return (
@@ -193,21 +232,65 @@ def _mixed(lists: DataFrame) -> DataFrame:
     return lists.join(top, "token").withColumn("pairs", pairs.cast("long")).drop("all")
 
 
+def _by_length(mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings of lists of at most ``LONG_LIST`` documents, with the number of longer lists that hold the document, too; and
+    the documents (doc_id, n, component) of these."""
+    long = mixed.groupBy("token").agg(F.count(F.lit(1)).alias("postings")).where(F.col("postings") > LONG_LIST).select("token")
+    crowd = mixed.join(long, "token", "left_semi").groupBy("doc_id", "n", "component").agg(F.count(F.lit(1)).alias("elsewhere"))
+    short = mixed.join(long, "token", "left_anti").join(crowd.select("doc_id", "elsewhere"), "doc_id", "left")
+    return short.withColumn("elsewhere", F.coalesce("elsewhere", F.lit(0))), crowd.drop("elsewhere")
+
+
 def _across(mixed: DataFrame, percent: int) -> DataFrame:
-    """All pairs of the lists' documents that lie in different components and share enough of their prefixes."""
-    left = mixed.where("component <> main").select("token", *[F.col(c).alias(f"{c}1") for c in ("doc_id", "n", "need", "component")])
-    right = mixed.select("token", "main", *[F.col(c).alias(f"{c}2") for c in ("doc_id", "n", "need", "component")])
+    """Pairs of documents that meet in lists, lie in different components and may share enough of their prefixes."""
+    columns = ("doc_id", "n", "need", "component", "elsewhere")
+    left = mixed.where("component <> main").select("token", *[F.col(c).alias(f"{c}1") for c in columns])
+    right = mixed.select("token", "main", *[F.col(c).alias(f"{c}2") for c in columns])
     met = left.join(right, "token").where("component1 <> component2 AND (component2 = main OR doc_id1 < doc_id2)")
     met = met.where(_sizes_fit("n1", "n2", percent))
     return (
         met.groupBy(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("need1", "need2")).alias("asked"))
-        .where("shared >= asked").select("a", "b")
+        .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("need1", "need2")).alias("asked"), F.min(F.least("elsewhere1", "elsewhere2")).alias("more"))
+        .where("shared + more >= asked").select("a", "b")
     )
 
 
-def _candidate_sets(texts: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
-    """doc_id and shingles of every document that has a posting list, by a third pass over the texts."""
+def _in_crowd(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the crowd's documents, in different components, that may link: by prefixes in an exact order.
+
+    Within the crowd shingles are counted exactly and ordered by rarity, so shingles that one document has alone come
+    first. Two documents that link share a shingle among the first ``n - ceil(t n) + 1`` of both; if the first shared one stands at
+    ``pos``, they share at most ``n - pos``, which bounds the other's size. Near copies with more shingles of their own than
+    a link allows are out by themselves, however many they are. Pairs meet by shingle and size class.
+    """
+    tokens = sets.join(crowd, "doc_id").select("doc_id", "shingles").mapInArrow(_exploded, "doc_id long, token long")
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    shared = tokens.join(counts, "token").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("shared"))
+    ranked = crowd.join(shared, "doc_id").withColumn("alone", F.col("n") - F.size("shared"))
+    least = F.ceil(F.lit(percent) * F.col("n") / 100)
+    postings = ranked.select("doc_id", "n", "component", "alone", F.posexplode(F.slice("shared", F.lit(1), F.greatest(F.lit(0), F.col("n") - least + 1 - F.col("alone")).cast("int"))).alias("at", "x"))
+    most = F.floor((F.col("n") - F.col("alone") - F.col("at")) * (100 + percent) / percent) - F.col("n")
+    postings = stored(postings.select("doc_id", "n", "component", F.col("x.token").alias("token"), most.alias("most")), "ngram-postings")
+
+    def size_class(n: Column) -> Column:
+        return F.floor(F.log(n) / math.log(100 / max(min(percent, 99), 1))).cast("int")
+
+    small = postings.where("most >= n").select("token", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("most").alias("ma"), size_class(F.col("n")).alias("class"))
+    top = F.least("n", "most")
+    large = postings.where(top >= least).select("token", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), top.alias("mb"), F.explode(F.sequence(size_class(least), size_class(top))).alias("class"))
+    met = small.join(large, ["token", "class"]).where("ca <> cb AND na <= mb AND nb <= ma AND (na < nb OR a < b)")
+    return met.where(_sizes_fit("na", "nb", percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for doc_id, shingled in zip(batch.column(0), batch.column(1)):
+            values = np.frombuffer(shingled.as_buffer(), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), doc_id.as_py())), pa.array(values)], ["doc_id", "token"])
+
+
+def _sets_of(texts: DataFrame, needed: DataFrame, words: int) -> DataFrame:
+    """doc_id and shingles of the needed documents, by another pass over the texts."""
     spark = texts.sparkSession
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(_FILTER_BITS))
 
@@ -218,7 +301,7 @@ def _candidate_sets(texts: DataFrame, chosen: DataFrame, words: int) -> DataFram
             np.bitwise_or.at(table, at >> 3, (1 << (at & 7)).astype(np.uint8))
         yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary())], ["counters"])
 
-    table = merged(chosen.select(slot).mapInArrow(marked, "counters binary"), np.uint8, np.bitwise_or)
+    table = merged(needed.select(slot).mapInArrow(marked, "counters binary"), np.uint8, np.bitwise_or)
     table = np.zeros(_FILTER_BITS // 8, dtype=np.uint8) if table is None else table
     passing = spark.sparkContext.broadcast(table)
 
@@ -233,7 +316,7 @@ def _candidate_sets(texts: DataFrame, chosen: DataFrame, words: int) -> DataFram
 
     return (
         texts.where("doc_id IS NOT NULL").withColumn("bit", slot).mapInArrow(kept, "doc_id long, shingles binary")
-        .join(chosen.select("doc_id"), "doc_id", "left_semi").distinct()
+        .join(needed, "doc_id", "left_semi").distinct()
     )
 
 
@@ -263,10 +346,12 @@ def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERC
     Of rows that share the smallest id and are the same document, one stays (the one with the least text).
     """
     groups = ngram_components(docs, words, percent)
-    dropped = groups.where("n_shingles > 0 AND component_id <> doc_id").select(F.col("doc_id").alias("dropped")).distinct()
-    kept = docs.join(dropped, F.col("doc_id").cast("long") == F.col("dropped"), "left_anti")
-    spare = kept.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("again"))
-    single = kept.join(spare, F.col("doc_id") == F.col("again"), "left_anti")
-    repeated = kept.join(spare, F.col("doc_id") == F.col("again"), "left_semi")
-    turn = F.row_number().over(W.partitionBy("doc_id").orderBy("text")).alias("turn")
-    return single.unionByName(repeated.select("*", turn).where("turn = 1").select(*docs.columns))
+    gone, again, turn = (unused(docs, name) for name in ("gone", "again", "turn"))
+    dropped = groups.where("n_shingles > 0 AND component_id <> doc_id").select(F.col("doc_id").alias(gone)).distinct()
+    kept = docs.join(dropped, F.col("doc_id").cast("long") == F.col(gone), "left_anti")
+    spare = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(again))
+    single = kept.join(spare, F.col("doc_id") == F.col(again), "left_anti")
+    repeated = kept.join(spare, F.col("doc_id") == F.col(again), "left_semi")
+    place = F.row_number().over(W.partitionBy("doc_id").orderBy("text")).alias(turn)
+    first = repeated.select("*", place).where(F.col(turn) == 1).drop(turn)
+    return single.unionByName(first)

@@ -9,18 +9,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.plans.scratch import shared_folder
+from tallybook.plans.scratch import remove, shared_folder
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the folder that all executors share and read again. Cuts the lineage."""
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete the files of tables that ``stored`` has made and that no plan reads any more."""
+    for table in tables:
+        if table is not None:
+            remove(table.sparkSession, table.stored_at)
 
 
 def merged(tables: DataFrame, dtype: type, merge: Callable, tasks: int = 4) -> np.ndarray | None:
@@ -57,7 +74,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         if state == before:
             break
         before = state
-        now = stored(_small_star(_large_star(now)), name)
+        now, old = stored(_small_star(_large_star(now)), name), now
+        discard(old)
     pairs = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return pairs.union(pairs.select(F.col("component").alias("node"), "component").distinct())
 
