@@ -23,15 +23,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallybook.llm.tables import unused
 from tallybook.llm.tokens import PUNCTUATION, Words, pieces
 
 BUCKETS = 1 << 18
 FACTORS = 4
 MOST_LABELLED = 20_000
 EPOCHS = 12
-#: A term learns only if it occurs in as many of the labelled texts, and its share of toxic texts stands out.
+#: A term learns only if it occurs in as many of the labelled texts, and its share of toxic texts, or that of a pair, stands out.
 LEAST_TEXTS = 4
+#: So many of the most frequent terms are also looked at in pairs: a term may stand out only beside another.
+PAIR_TERMS = 2048
 
 
 @dataclass
@@ -109,7 +113,7 @@ def learn(target: np.ndarray, term: np.ndarray, doc: np.ndarray, seed: int = 7)
     bad = np.bincount(term, target[doc], BUCKETS)
     mean = toxic / n
     apart = (bad - seen * mean) / np.sqrt(seen * mean * (1 - mean) + 1e-9)
-    use = np.flatnonzero((seen >= LEAST_TEXTS) & (np.abs(apart) > 4))
+    use = np.union1d(np.flatnonzero((seen >= LEAST_TEXTS) & (np.abs(apart) > 4)), _paired(target, term, doc, seen, bad, mean))
     if not len(use):
         return machine
     machine.slot[use] = np.arange(len(use))
@@ -142,10 +146,33 @@ def learn(target: np.ndarray, term: np.ndarray, doc: np.ndarray, seed: int = 7)
     return machine
 
 
-def scored(docs: DataFrame, machine: Machine) -> DataFrame:
-    """``docs`` (all columns) with ``toxicity``, a double from 0 to 1."""
+def _paired(target: np.ndarray, term: np.ndarray, doc: np.ndarray, seen: np.ndarray, bad: np.ndarray, mean: float) -> np.ndarray:
+    """Terms of the pairs whose texts are toxic otherwise than the two terms by themselves, added up, would have it."""
+    common = np.argsort(-seen, kind="stable")[:PAIR_TERMS]
+    common = common[seen[common] >= LEAST_TEXTS]
+    place = np.full(BUCKETS, -1, np.int64)
+    place[common] = np.arange(len(common))
+    both, toxic = np.zeros((2, len(common), len(common)), dtype=np.float32)
+    begin = np.searchsorted(doc, np.arange(len(target) + 1))
+    for a in range(0, len(target), 4096):  # counts of pairs, some texts at a time
+        rows = slice(begin[a], begin[min(a + 4096, len(target))])
+        at = place[term[rows]]
+        some = np.zeros((min(4096, len(target) - a), len(common)), dtype=np.float32)
+        some[doc[rows][at >= 0] - a, at[at >= 0]] = 1
+        both += some.T @ some
+        bad_rows = some[target[a : a + 4096] > 0]
+        toxic += bad_rows.T @ bad_rows
+    share = (bad[common] + mean) / (seen[common] + 1)
+    odds = np.log(share / (1 - share))
+    expected = _sigmoid(odds[:, None] + odds[None, :] - np.log(mean / (1 - mean)))
+    apart = np.abs(toxic - both * expected) / np.sqrt(both * expected * (1 - expected) + 1)
+    np.fill_diagonal(apart, 0)
+    return common[apart.max(axis=1, initial=0) > 6]
+
+
+def scored(docs: DataFrame, machine: Machine, name: str = "toxicity") -> DataFrame:
+    """``docs`` (all columns) with the score, a double from 0 to 1, as a further column ``name``."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
-    name = "toxicity"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -153,9 +180,7 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
             score = model.value.scores(*_terms(Words(text, PUNCTUATION)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, name])
 
-    kept = docs.drop(name)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{fields}, {name} double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -169,4 +194,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows that the fitted machine scores 0.5 or more."""
-    return scored(docs, fit(docs, labels)).where("toxicity < 0.5").select(*docs.columns)
+    name = unused(docs, "toxicity")
+    return scored(docs, fit(docs, labels), name).where(F.col(name) < 0.5).drop(name)
