@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallybook.llm.tables import stored
+from tallybook.llm.tables import stored, unused
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST = 3
@@ -201,7 +201,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST)
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it is taken, with ``copy`` counting from 1."""
+    """The rows of ``docs`` that the mix takes, each as often as it is taken, with ``copy`` (``_copy`` beside a column of that
+    name, and so on) counting from 1."""
     _, cuts = rates(docs, weights, most)
     names = docs.columns
     facts = docs.select(
@@ -209,4 +210,6 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOS
         _uniform(F.col("doc_id"), F.col("text")).alias("mark"),
     )
     rows = _by_source(facts, cuts, "left").withColumn("copies", _copies(facts, most)).where("copies > 0")
-    return rows.select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select("row.*", "copy")
+    copy = unused(docs, "copy")
+    taken = rows.select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("number"))
+    return taken.select("row.*", F.col("number").alias(copy))
