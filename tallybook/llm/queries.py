@@ -82,4 +82,10 @@ SELECT w.doc_id, CAST(coalesce(len(ws), 0) AS BIGINT) AS n_words, coalesce(n_hit
   coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
-SQL: dict[str, str] = {"op10_decontaminate": _OP10, "op11_periodic_runs": sql.RUNS, "op13_spelling": sql.SPELLING}
+SQL: dict[str, str] = {
+    "op1_ngram_join": sql.NGRAM_JOIN,
+    "op8_substrings": sql.SUBSTRINGS,
+    "op10_decontaminate": _OP10,
+    "op11_periodic_runs": sql.RUNS,
+    "op13_spelling": sql.SPELLING,
+}

@@ -63,3 +63,33 @@ chain AS (
   UNION ALL SELECT formed.word, chain.root FROM formed JOIN chain ON formed.form = chain.word)
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN chain USING (word)
 """
+
+
+#: Links by the shingles that two documents share, and everything that can be reached over them.
+NGRAM_JOIN = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(ws) - 2, least(len(ws), 1)) + 1), lambda i: array_to_string(ws[i : i + 2], ' '))) AS sh FROM w),
+one AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM one a JOIN one b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, least(doc_id, coalesce(least_b, doc_id)) AS component_id
+FROM s LEFT JOIN (SELECT a, min(b) AS least_b FROM reach GROUP BY a) ON a = doc_id
+"""
+
+
+#: Every 400-byte string by its hash; texts as hexadecimal digits, two for a byte.
+SUBSTRINGS = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, i, hash(h[2 * i + 1 : 2 * i + 800]) AS k FROM (SELECT doc_id, h, unnest(range(0, strlen(h) // 2 - 399)) AS i FROM d)),
+hits AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM starts SEMI JOIN (SELECT k FROM starts GROUP BY k HAVING count(*) > 1) USING (k)),
+numbered AS (SELECT *, sum(CAST(before IS NULL OR i > before + 400 AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hits),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY doc_id, run),
+cuts AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, list(b ORDER BY a) AS ends, list(a ORDER BY a) AS begins FROM runs GROUP BY doc_id)
+SELECT doc_id, CAST(strlen(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN ends IS NULL THEN h ELSE list_reduce(list_prepend('', list_transform(range(0, len(ends) + 1),
+    lambda k: h[CASE WHEN k = 0 THEN 1 ELSE 2 * ends[k] + 1 END : CASE WHEN k = len(ends) THEN strlen(h) ELSE 2 * begins[k + 1] END])), lambda x, y: x || y) END)) AS kept_sha256
+FROM d LEFT JOIN cuts USING (doc_id)
+"""
