@@ -4,46 +4,51 @@ A byte goes if a string of ``length`` bytes that covers it starts anywhere else.
 not needed for that. A start is a position with ``length`` bytes of its document ahead. Its anchor is the position with the least hash
 of eight bytes among the next ``_REACH`` positions (leftmost if equal), so equal strings have their anchors at equal places.
 
-1. Anchors whose next ``length - _REACH + 1`` bytes occur once (by a hash, so never too few pass) settle all their
-   starts: none is repeated. Most of a corpus ends here.
-2. Of the other anchors the suffix at the first of their starts is sorted, up to the bytes that all their starts need.
-   If a neighbour shares all of these, every start of the anchor is repeated; otherwise the starts are in doubt.
-3. The suffixes of all starts in doubt are sorted, together with those that they may meet: every start of an anchor
-   with the same bytes. A start is repeated if a neighbour in sorted order shares ``length`` bytes.
-
-Sorting is a distributed merge sort. Every task sorts its suffixes into runs, one for each range of a common set of
-splitters (found from a bounded sample; it decides balance only), and front-codes each run: the length of the prefix shared with the one before, and the
+1. Anchors whose next ``length - _REACH + 1`` bytes, their key, occur once (by a hash, so never too few pass) settle all their
+   starts: none is repeated. Most of a corpus ends here. Of each other anchor one record is kept: a digest of its key and the bytes
+   that its starts need before and behind the key. The texts are not needed again until bytes are cut out of them.
+2. The records are sorted as suffixes: digest, number of bytes before the anchor, these, and those behind the key. The key itself is
+   the same for all suffixes of a digest, so it never travels. If a neighbour shares the whole suffix, every start
+   of the anchor is repeated; otherwise the starts are in doubt.
+3. Of anchors whose digest is in doubt, every start is sorted in the same form, which is ``_REACH - 1`` bytes and the digest.
+   A start is repeated if a neighbour in sorted order shares all of it.
+
+Sorting is a distributed merge sort. Every task sorts its suffixes into runs, one for each range of digests, and front-codes
+each run: the length of the prefix shared with the one before, and the
 rest. Runs are exchanged in blocks. The receiving task merges them with a loser tree that keeps, for each player, the
 prefix it shares with the last winner: players with different lengths are compared by these alone, others from that
 length on. So no byte of a known prefix is compared again, and the merge yields the neighbours' common prefixes for free.
 Equal suffixes are one entry with a count already in their run, so a group of any number of copies is a few entries.
 
 Matches lie within documents, and copies of a document count like any other repeat. Which copy is kept is not asked: all
-covered bytes go, from every place. Defined cases: null is empty; texts shorter than ``length`` bytes are kept whole; overlaps with itself count;
+covered bytes go, from every place. Rows are told apart, and keys and digests compared, by hashes of 64 and 128 bits. Defined cases: null is empty; texts shorter than ``length`` bytes are kept whole; overlaps with itself count;
 repeated rows are separate documents (so their bytes repeat), and a null doc_id is one like any other; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.tables import stored
+from tallybook.llm.tables import discard, stored
 from tallybook.llm.tokens import joined, pieces, prefix_hash, span_hash
 
 LENGTH = 400
 _REACH = 160
 _GRAM = 8
 _BLOCK = 1 << 17
-_SAMPLE = 20_000
 #: Ranges of a merge: at least so many, and one for each so many suffixes.
 _RANGES, _RANGE_SUFFIXES = 48, 50_000
+#: Records that a task takes at a time, and suffixes that it sorts at a time.
+_RUN_RECORDS, _RUN_SUFFIXES = 50_000, 200_000
+#: A digest with more records has ranges of its own.
+_HOT_RECORDS = 20_000
 
 
 def _anchors(texts: pa.Array, length: int) -> tuple[np.ndarray, ...]:
@@ -85,11 +90,18 @@ def _keys(data: np.ndarray, anchor: np.ndarray, length: int) -> np.ndarray:
     return span_hash(prefix_hash(data), anchor, anchor + length - _REACH + 1).view(np.int64)
 
 
+_RECORD = "row long, start long, before int, span int, digest binary, around binary"
+_DIGEST = 16
+#: Bytes of a sorted suffix besides those of the text: the digest, and how many bytes lie before the anchor.
+_HEAD = _DIGEST + 1
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """row, spans (start, end, start, ... of the maximal removed runs, in bytes) of each row with any; and ``docs`` with ``row``."""
+    """row, found (start and reach of strings that are repeated, in bytes) of each row of ``docs`` (row, text) with any."""
     if length < 2 * _REACH:
         raise ValueError(f"length must be at least {2 * _REACH}")
     texts = docs.select(F.col("row"), F.col("text").cast("string").alias("text"))
+    key_bytes = length - _REACH + 1
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -97,98 +109,122 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             key = _keys(data, anchor, length)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array(key)], ["row", "key"])
 
-    keys = texts.mapInArrow(hashed, "row long, key long")
-    twice = stored(keys.groupBy("key").count().where("count > 1").select("key"), "suffix-keys")
-    found = stored(keys.join(twice, "key").groupBy("row").agg(F.collect_set("key").alias("keys")), "suffix-rows")
-    candidates = stored(texts.join(found, "row"), "suffix-texts")
-
-    def first_suffixes(row: int, data: np.ndarray, base: int, key: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[tuple]:
-        size = last - first + length
-        return [(data[a : a + n].tobytes(), row, int(a - base)) for a, n in zip(first.tolist(), size.tolist())]
-
-    def all_suffixes(row: int, data: np.ndarray, base: int, key: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[tuple]:
-        return [
-            (data[a : a + length].tobytes(), row, a - base) for i, j in zip(first.tolist(), last.tolist()) for a in range(i, j + 1)
-        ]
-
-    anchors = found.agg(F.sum(F.size("keys"))).first()[0] or 0
-    settled = stored(_sorted_matches(candidates, first_suffixes, length, anchors), "suffix-first")
-    # settled: row, start, size, match. All starts of an anchor repeat if its whole suffix does.
-    doubt = settled.where("match < size").select("row", "start")
-    doubtful = stored(_doubtful(candidates, doubt, length), "suffix-doubt")
-    starts = settled.where("match >= size").select("row", "start", F.col("size").alias("reach"))
-    anchors = doubtful.agg(F.sum(F.size("keys"))).first()[0] or 0
-    rest = _sorted_matches(doubtful, all_suffixes, length, anchors * _REACH // 2).where(F.col("match") >= length).select("row", "start", F.lit(length).cast("long").alias("reach"))
-    return starts.union(rest).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "reach"))).alias("found"))
-
-
-def _doubtful(candidates: DataFrame, doubt: DataFrame, length: int) -> DataFrame:
-    """The candidate texts with only the keys of anchors that are in doubt somewhere."""
-    by_row = doubt.groupBy("row").agg(F.collect_set("start").alias("starts"))
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def recorded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            data, offsets, anchor, first, _, own = _anchors(batch.column(1), length)
+            data, offsets, anchor, first, last, own = _anchors(batch.column(1), length)
             key = _keys(data, anchor, length)
-            keys = []
-            for i, starts in enumerate(batch.column(2).to_pylist()):
-                a, b = np.searchsorted(own, [i, i + 1])
-                keys.append(np.unique(key[a:b][np.isin(first[a:b] - offsets[i], starts)]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))], ["key"])
-
-    keys = candidates.join(by_row, "row").select("row", "text", "starts").mapInArrow(keyed, "key long").distinct()
-    wanted = candidates.select("row", F.explode("keys").alias("key")).join(keys, "key").groupBy("row").agg(F.collect_set("key").alias("keys"))
-    return candidates.drop("keys").join(wanted, "row")
-
-
-def _sorted_matches(candidates: DataFrame, suffixes, length: int, about: int) -> DataFrame:
-    """row, start, size, match of each suffix that ``suffixes`` gives for the texts' keys, about so many."""
-    wide, ranges = length + _REACH, max(_RANGES, about // _RANGE_SUFFIXES)
-
-    def chosen(batch: pa.RecordBatch) -> Iterator[tuple]:
-        data, offsets, anchor, first, last, own = _anchors(batch.column(1), length)
-        key = _keys(data, anchor, length)
-        rows, wanted = batch.column(0).to_pylist(), batch.column(2)
-        bounds = np.searchsorted(own, np.arange(batch.num_rows + 1))
-        for i, row in enumerate(rows):
-            a, b = bounds[i], bounds[i + 1]
-            take = np.isin(key[a:b], wanted[i].values.to_numpy()) if a < b else np.zeros(0, bool)
-            if take.any():
-                yield from suffixes(row, data, int(offsets[i]), key[a:b][take], first[a:b][take], last[a:b][take])
-
-    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The suffixes with the least hashes: a sample without a seed, spread over distinct suffixes.
-        best: dict[bytes, bytes] = {}
-        for batch in pieces(batches):
-            for suffix, _, _ in chosen(batch):
-                best.setdefault(hashlib.blake2b(suffix, digest_size=8).digest(), suffix[:96])
-                if len(best) > 4 * _SAMPLE // _RANGES:
-                    best = {h: best[h] for h in sorted(best)[: _SAMPLE // _RANGES]}
-        kept = sorted(best)[: _SAMPLE // _RANGES]
-        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.binary()), pa.array([best[h] for h in kept], pa.binary())], ["hash", "suffix"])
-
-    columns = candidates.select("row", "text", "keys")
-    sample = columns.mapInArrow(sampled, "hash binary, suffix binary").distinct().orderBy("hash").limit(_SAMPLE)
-    sample = sorted(bytes(r["suffix"]) for r in sample.collect())
-    splitters = sorted({sample[len(sample) * k // ranges] for k in range(1, ranges)}) if sample else []
+            bounds = np.searchsorted(own, np.arange(batch.num_rows + 1))
+            wanted = batch.column(2)
+            take = [bounds[i] + np.flatnonzero(np.isin(key[bounds[i] : bounds[i + 1]], wanted[i].values.to_numpy())) for i in range(batch.num_rows)]
+            take = np.concatenate([np.zeros(0, np.int64), *take])
+            at, a, b, own = anchor[take], first[take], last[take], own[take]
+            raw = data.tobytes()
+            spans = list(zip(at.tolist(), a.tolist(), b.tolist()))
+            digests = [hashlib.blake2b(raw[m : m + key_bytes], digest_size=_DIGEST).digest() for m, _, _ in spans]
+            around = [raw[i:m] + raw[m + key_bytes : j + length] for m, i, j in spans]
+            columns = [batch.column(0).take(pa.array(own)), pa.array(a - offsets[own]), pa.array((at - a).astype(np.int32)), pa.array((b - a).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(digests, pa.binary()), pa.array(around, pa.binary())], ["row", "start", "before", "span", "digest", "around"])
+
+    keys = texts.mapInArrow(hashed, "row long, key long")
+    twice = stored(keys.groupBy("key").count().where("count > 1").select("key"), "suffix-keys")
+    rows = keys.join(twice, "key").groupBy("row").agg(F.collect_set("key").alias("keys"))
+    records = stored(texts.join(rows, "row").mapInArrow(recorded, _RECORD), "suffix-records")
+    discard(twice)
+
+    ranges = _Ranges.of(records)
+    first = stored(_sorted_matches(records, _whole, ranges), "suffix-first")
+    starts = first.where("match >= size").select("row", "start", (F.col("size") - _HEAD + key_bytes).alias("reach"))
+    doubt = first.where("match < size").select("digest").distinct()
+    doubtful = stored(records.join(doubt, "digest", "left_semi").select(*records.columns), "suffix-doubt")
+    discard(records)
+    rest = _sorted_matches(doubtful, _each, _Ranges.of(doubtful, F.sum(F.col("span") + 1))).where("match >= size")
+    found = starts.union(rest.select("row", "start", F.lit(length).cast("long").alias("reach")))
+    return found.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "reach"))).alias("found"))
+
+
+@dataclass
+class _Ranges:
+    """Which range a suffix is sorted in, by its digest; digests are spread evenly, so no sample is needed.
+
+    A digest with very many records has ranges of its own, by the number of bytes before the anchor: equal suffixes agree in that.
+    """
+
+    count: int
+    hot: dict[bytes, tuple[int, int]]  # digest: its first range, and how many it has
+
+    @staticmethod
+    def of(records: DataFrame, suffixes: Column | None = None) -> _Ranges:
+        total = records.agg(F.count(F.lit(1)) if suffixes is None else suffixes).first()[0] or 0
+        count, hot = max(_RANGES, total // _RANGE_SUFFIXES), {}
+        for r in records.groupBy("digest").count().where(F.col("count") > _HOT_RECORDS).orderBy("digest").collect():
+            own = min(_REACH, 1 + r["count"] // _HOT_RECORDS)
+            hot[bytes(r["digest"])] = (count + sum(n for _, n in hot.values()), own)
+        return _Ranges(count, hot)
+
+    def parts(self, suffixes: np.ndarray) -> np.ndarray:
+        """Of suffixes that are rows of bytes."""
+        high = suffixes[:, :4].astype(np.uint64) @ np.array([1 << 24, 1 << 16, 1 << 8, 1], dtype=np.uint64)
+        out = ((high * np.uint64(self.count)) >> np.uint64(32)).astype(np.int64)
+        for digest, (first, own) in self.hot.items():
+            same = np.flatnonzero((suffixes[:, :_DIGEST] == np.frombuffer(digest, np.uint8)).all(axis=1))
+            out[same] = first + suffixes[same, _DIGEST].astype(np.int64) * own // _REACH
+        return out
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts around the anchors end to end and where each begins, the digests as rows, and the bytes before each anchor."""
+    around = batch.column(5).cast(pa.large_binary())
+    ends = np.frombuffer(around.buffers()[1], dtype=np.int64)[around.offset : around.offset + len(around) + 1]
+    data = np.frombuffer(around.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]]
+    digests = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.uint8).reshape(-1, _DIGEST)
+    return data, ends - ends[0], digests, batch.column(2).to_numpy()
+
+
+def _matrix(data: np.ndarray, at: np.ndarray, digests: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Suffixes as rows: the digest, the number of bytes before the anchor, and the ``_REACH - 1`` bytes at each place."""
+    out = np.empty((len(at), _HEAD + _REACH - 1), dtype=np.uint8)
+    out[:, :_DIGEST] = digests
+    out[:, _DIGEST] = before
+    out[:, _HEAD:] = np.lib.stride_tricks.sliding_window_view(data, _REACH - 1)[at]
+    return out
+
+
+def _whole(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """One suffix a record: rows of their first bytes, what follows these, row and start of each."""
+    data, begin, digests, before = _flat(batch)
+    raw, wide = data.tobytes(), _REACH - 1
+    tails = [raw[a + wide : b] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
+    yield _matrix(data, begin[:-1], digests, before), tails, batch.column(0).to_numpy(), batch.column(1).to_numpy()
+
+
+def _each(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Every start of a record: the one k places on has before - k bytes before its anchor, and as many more behind the key."""
+    data, begin, digests, before = _flat(batch)
+    row, start, count = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3).to_numpy().astype(np.int64) + 1
+    bounds = np.concatenate(([0], np.cumsum(count)))
+    for a in range(0, int(bounds[-1]), _RUN_SUFFIXES):
+        n = np.arange(a, min(a + _RUN_SUFFIXES, int(bounds[-1])))
+        own = np.searchsorted(bounds, n, side="right") - 1
+        k = n - bounds[own]
+        yield _matrix(data, begin[own] + k, digests[own], before[own] - k), None, row[own], start[own] + k
+
+
+def _sorted_matches(records: DataFrame, suffixes, ranges: _Ranges) -> DataFrame:
+    """row, start, size, match, digest of each suffix that ``suffixes`` makes of the records."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted front-coded runs; a run is a batch's suffixes within one range, in numbered blocks."""
-        for k, batch in enumerate(pieces(batches)):
-            own: list[list[tuple]] = [[] for _ in range(len(splitters) + 1)]
-            for item in chosen(batch):
-                own[bisect_right(splitters, item[0])].append(item)
-            from pyspark import TaskContext
-
-            task = TaskContext.get().partitionId()
-            for part, items in enumerate(own):
-                if items:
-                    items.sort()
-                    yield from _blocks(part, (task << 32) + k, items)
+        """Sorted front-coded runs; a run is some records' suffixes within one range, in numbered blocks."""
+        from pyspark import TaskContext
+
+        run = TaskContext.get().partitionId() << 32
+        for batch in _gathered(batches):
+            for matrix, tails, row, start in suffixes(batch):
+                yield from _blocks(run, ranges.parts(matrix), matrix, tails, row, start)
+                run += 1
 
     names = ["part", "run", "block", "lcp", "rest", "sizes", "counts", "rows", "starts"]
     schema = "part int, run long, block int, lcp binary, rest binary, sizes binary, counts binary, rows binary, starts binary"
-    coded = columns.mapInArrow(runs, schema)
+    coded = records.mapInArrow(runs, schema)
 
     def merged(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_run: dict[int, list] = {}
@@ -196,21 +232,21 @@ def _sorted_matches(candidates: DataFrame, suffixes, length: int, about: int) ->
             for r in table.to_pylist():
                 by_run.setdefault(r["run"], []).append(r)
         players = [_Run(sorted(v, key=lambda r: r["block"])) for v in by_run.values()]
-        rows, starts, sizes, matches = [], [], [], []
+        rows, starts, sizes, matches, digests = [], [], [], [], []
 
         def flush() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(rows)), pa.array(np.concatenate(starts)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(matches))],
-                ["row", "start", "size", "match"],
+                [pa.array(np.concatenate(rows)), pa.array(np.concatenate(starts)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(matches)), pa.array(digests, pa.binary())],
+                ["row", "start", "size", "match", "digest"],
             )
-            for x in (rows, starts, sizes, matches):
+            for x in (rows, starts, sizes, matches, digests):
                 x.clear()
             return out
 
         # The held entry is complete once its right neighbour is known.
-        held_size, held_best, held = 0, 0, []
+        held_size, held_best, held, held_digest = 0, 0, [], b""
         pending = 0
-        for shared, size, own_rows, own_starts in _merge(players):
+        for shared, size, own_rows, own_starts, suffix in _merge(players):
             if held and shared == held_size == size:
                 held.append((own_rows, own_starts))
                 continue
@@ -222,11 +258,12 @@ def _sorted_matches(candidates: DataFrame, suffixes, length: int, about: int) ->
                     starts.append(s)
                 sizes.append(np.full(count, held_size, np.int64))
                 matches.append(np.full(count, best, np.int64))
+                digests += [held_digest] * count
                 pending += count
                 if pending > 100_000:
                     yield flush()
                     pending = 0
-            held_size, held_best, held = size, shared if held else 0, [(own_rows, own_starts)]
+            held_size, held_best, held, held_digest = size, shared if held else 0, [(own_rows, own_starts)], suffix[:_DIGEST]
         if held:
             count = sum(len(r) for r, _ in held)
             for r, s in held:
@@ -234,42 +271,71 @@ def _sorted_matches(candidates: DataFrame, suffixes, length: int, about: int) ->
                 starts.append(s)
             sizes.append(np.full(count, held_size, np.int64))
             matches.append(np.full(count, held_size if count > 1 else held_best, np.int64))
+            digests += [held_digest] * count
         if rows:
             yield flush()
 
-    # A range's border may part two suffixes that share a prefix, never two that are equal in the bytes that count:
-    # splitters are cut to 96 bytes, and strings that share ``length`` bytes lie on the same side of all of them.
-    assert wide > 96
-    return coded.select(*names).groupBy("part").applyInArrow(merged, "row long, start long, size long, match long")
+    return coded.select(*names).groupBy("part").applyInArrow(merged, "row long, start long, size long, match long, digest binary")
 
 
-def _blocks(part: int, run: int, items: list[tuple]) -> Iterator[pa.RecordBatch]:
-    lcp, rest, sizes, counts, rows, starts, used, block, last = [], [], [], [], [], [], 0, 0, b""
-    schema = ["part", "run", "block", "lcp", "rest", "sizes", "counts", "rows", "starts"]
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``_RUN_RECORDS`` records, so that runs are long."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= _RUN_RECORDS:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    def packed() -> pa.RecordBatch:
-        fields = [np.array(lcp, np.int32), None, np.array(sizes, np.int32), np.array(counts, np.int32), np.array(rows, np.int64), np.array(starts, np.int64)]
-        binary = [pa.array([b"".join(rest) if f is None else f.tobytes()], pa.binary()) for f in fields]
-        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([run]), pa.array([block], pa.int32()), *binary], schema)
 
-    for suffix, row, start in items:
-        if suffix == last:
-            counts[-1] += 1
+def _blocks(run: int, parts: np.ndarray, matrix: np.ndarray, tails: list[bytes] | None, row: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The suffixes of each range in order, front-coded: what each shares with the one before, the rest, and how often it is there."""
+    if not len(matrix):
+        return
+    width = matrix.shape[1]
+    keys = np.ascontiguousarray(matrix).view(f"S{width}").ravel()  # all of one width, so zeros at the end do not matter
+    if tails is None:
+        order = np.lexsort((keys, parts))
+    else:
+        tail = np.array([t.ljust(_REACH, b"\0") for t in tails], dtype=f"S{_REACH}")
+        size = np.array([len(t) for t in tails])
+        order = np.lexsort((size, tail, keys, parts))
+    matrix, parts, row, start = matrix[order], parts[order], row[order], start[order]
+    tails = None if tails is None else [tails[i] for i in order.tolist()]
+    edges = np.flatnonzero(np.concatenate(([True], parts[1:] != parts[:-1], [True])))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield from _coded(run, int(parts[a]), matrix[a:b], None if tails is None else tails[a:b], row[a:b], start[a:b])
+
+
+def _coded(run: int, part: int, matrix: np.ndarray, tails: list[bytes] | None, row: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+    width = matrix.shape[1]
+    unlike = matrix[1:] != matrix[:-1]
+    differs = unlike.any(axis=1)
+    shared = np.concatenate(([0], np.where(differs, unlike.argmax(axis=1), width)))
+    fresh = np.concatenate(([True], differs))
+    if tails is not None:
+        for i in np.flatnonzero(~fresh).tolist():
+            shared[i] += common_prefix(tails[i - 1], tails[i], 0)
+            fresh[i] = tails[i - 1] != tails[i]
+    first = np.flatnonzero(fresh)
+    count = np.diff(np.append(first, len(matrix)))
+    shared = shared[first]
+    sizes = np.full(len(first), width) if tails is None else width + np.array([len(tails[i]) for i in first.tolist()])
+    block = np.cumsum(sizes - shared + 24) // _BLOCK
+    cuts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1], [True])))
+    names = ["part", "run", "block", "lcp", "rest", "sizes", "counts", "rows", "starts"]
+    for number, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+        some = matrix[first[a:b]]
+        if tails is None:
+            rest = some[np.arange(width) >= shared[a:b, None]].tobytes()
         else:
-            if used > _BLOCK:
-                yield packed()
-                lcp, rest, sizes, counts, rows, starts, used = [], [], [], [], [], [], 0
-                block += 1
-            shared = common_prefix(last, suffix, 0)
-            lcp.append(shared)
-            rest.append(suffix[shared:])
-            sizes.append(len(suffix))
-            counts.append(1)
-            used += len(suffix) - shared + 24
-            last = suffix
-        rows.append(row)
-        starts.append(start)
-    yield packed()
+            rest = b"".join((m.tobytes() + tails[i])[n:] for m, i, n in zip(some, first[a:b].tolist(), shared[a:b].tolist()))
+        rows = slice(first[a], first[b] if b < len(first) else len(matrix))
+        fields = (shared[a:b].astype(np.int32), None, sizes[a:b].astype(np.int32), count[a:b].astype(np.int32), row[rows].astype(np.int64), start[rows].astype(np.int64))
+        binary = [pa.array([rest if f is None else f.tobytes()], pa.binary()) for f in fields]
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([run]), pa.array([number], pa.int32()), *binary], names)
 
 
 def common_prefix(a: bytes, b: bytes, known: int) -> int:
@@ -318,8 +384,8 @@ class _Run:
         return -1
 
 
-def _merge(players: list[_Run]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """All suffixes in order: the prefix shared with the one before, size, rows, starts.
+def _merge(players: list[_Run]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bytes]]:
+    """All suffixes in order: the prefix shared with the one before, size, rows, starts, and the suffix.
 
     ``tree[node]`` is the loser of the match played there, ``share[player]`` the prefix that a loser shares with the
     suffix that beat it, which is also what it shares with the last winner on its way up. A longer shared prefix with the last winner
@@ -356,7 +422,7 @@ def _merge(players: list[_Run]) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
     winner = nodes[1] if k > 1 else 0
     while share[winner] >= 0:
         p = players[winner]
-        yield share[winner], len(p.suffix), p.rows, p.starts
+        yield share[winner], len(p.suffix), p.rows, p.starts, p.suffix
         share[winner] = p.step()
         node = (winner + k) // 2
         while node:
@@ -367,8 +433,9 @@ def _merge(players: list[_Run]) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, end, ... in bytes) for each row of ``docs``."""
     numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # Equal rows must stay two rows: numbered by their place in the input files, which a rerun finds again.
-    numbered = numbered.withColumn("row", F.monotonically_increasing_id())
+    # Named by their content, which every evaluation of the plan finds again. Equal rows share a name and an answer; each
+    # still brings its own suffixes, so they count as repeats of one another.
+    numbered = numbered.withColumn("row", F.xxhash64("doc_id", "text"))
     found = repeated_spans(numbered, length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
