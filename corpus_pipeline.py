@@ -47,7 +47,7 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-#: The trained stages can't be expressed in SQL; tests hold every stage against a brute-force version.
+#: The trained stages can't be expressed in SQL. ``tests/llm`` holds what each stage keeps against a plain version of its rule.
 ORACLE_SQL = None
 
 
