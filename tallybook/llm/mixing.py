@@ -28,13 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallybook.llm.tables import stored, unused
+from tallybook.llm.tables import discard, stored, unused
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST = 3
 TOLERANCE = 1e-7
-_STEPS_A_JOB = 4
-_MOST_JOBS = 16
+_MOST_STEPS = 64
 _BINS = 4096
 _FLIPS = 2
 
@@ -100,10 +99,11 @@ def _thetas(base: DataFrame, sources: DataFrame, most: int) -> DataFrame:
         F.when(ratio > 1, F.log(F.lit(float(most))) * F.col("source_size") / F.col("n")).otherwise(0.0).alias("high"),
         F.lit(None).cast("double").alias("miss"),
     )
-    for _ in range(_MOST_JOBS):
-        for _ in range(_STEPS_A_JOB):
-            state = _newton(state, histogram, most)
-        state = stored(state, "mix-thetas")
+    before = None
+    for _ in range(_MOST_STEPS):  # one plan for each step, so that none grows with their number
+        state = stored(_newton(state, histogram, most), "mix-thetas")
+        discard(before)
+        before = state
         worst = state.agg(F.max("miss")).first()[0]
         if worst is None or worst <= TOLERANCE:
             break

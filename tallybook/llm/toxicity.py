@@ -154,20 +154,23 @@ def _paired(target: np.ndarray, term: np.ndarray, doc: np.ndarray, seen: np.ndar
     place[common] = np.arange(len(common))
     both, toxic = np.zeros((2, len(common), len(common)), dtype=np.float32)
     begin = np.searchsorted(doc, np.arange(len(target) + 1))
-    for a in range(0, len(target), 4096):  # counts of pairs, some texts at a time
-        rows = slice(begin[a], begin[min(a + 4096, len(target))])
+    for a in range(0, len(target), 1024):  # counts of pairs, some texts at a time
+        rows = slice(begin[a], begin[min(a + 1024, len(target))])
         at = place[term[rows]]
-        some = np.zeros((min(4096, len(target) - a), len(common)), dtype=np.float32)
+        some = np.zeros((min(1024, len(target) - a), len(common)), dtype=np.float32)
         some[doc[rows][at >= 0] - a, at[at >= 0]] = 1
         both += some.T @ some
-        bad_rows = some[target[a : a + 4096] > 0]
+        bad_rows = some[target[a : a + 1024] > 0]
         toxic += bad_rows.T @ bad_rows
     share = (bad[common] + mean) / (seen[common] + 1)
     odds = np.log(share / (1 - share))
-    expected = _sigmoid(odds[:, None] + odds[None, :] - np.log(mean / (1 - mean)))
-    apart = np.abs(toxic - both * expected) / np.sqrt(both * expected * (1 - expected) + 1)
-    np.fill_diagonal(apart, 0)
-    return common[apart.max(axis=1, initial=0) > 6]
+    most = np.zeros(len(common))
+    for i in range(len(common)):  # a row at a time, for the driver's memory
+        expected = _sigmoid(odds[i] + odds - np.log(mean / (1 - mean)))
+        apart = np.abs(toxic[i] - both[i] * expected) / np.sqrt(both[i] * expected * (1 - expected) + 1)
+        apart[i] = 0
+        most[i] = apart.max()
+    return common[most > 6]
 
 
 def scored(docs: DataFrame, machine: Machine, name: str = "toxicity") -> DataFrame:
