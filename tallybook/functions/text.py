@@ -36,6 +36,18 @@ def txn_id(profile: Column, account: Column, post_date: Column, amount: Column,
     return F.substring(F.sha2(payload, 256), 1, 16)
 
 
+def txn_piece(account: Column, post_date: Column, amount: Column) -> Column:
+    """A number that is equal for rows of a profile with equal ``txn_id``, at a small part of its price.
+
+    It hashes the text of the key behind the profile, up to the third bar. That is before the description begins, also if an
+    account holds bars.
+    """
+    empty = F.lit("")
+    cents = F.coalesce(amount, F.lit(0)).cast(T.DecimalType(18, 2)).cast("string")
+    head = F.concat_ws("|", F.coalesce(account, empty), F.coalesce(post_date.cast("string"), empty), cents)
+    return F.xxhash64(F.substring_index(head, "|", 3))
+
+
 def category_label(category: Column) -> Column:
     """Category as reports show it."""
     return F.coalesce(category, F.lit(UNCATEGORIZED))

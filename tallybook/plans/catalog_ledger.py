@@ -13,7 +13,7 @@ from tallybook.functions.money import money_text, signed_amount, to_money
 from tallybook.operators.canonicalize import canonicalize, unread_values
 from tallybook.operators.first_match import categorize
 from tallybook.operators.rollups import category_monthly, fact_transactions, spend_only
-from tallybook.operators.standardize import dedup_transactions, standardize
+from tallybook.operators.standardize import dealt, dedup_transactions, standardize
 from tallybook.plans import jobs
 from tallybook.plans.scratch import shared_folder
 from tallybook.plans.testbed import (
@@ -176,7 +176,8 @@ def dedup_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     paid, large = once.filter("amount < 0"), once.filter("amount > 50000")
     files = [sent("a", None, once), sent("a", 1.5, paid), sent("b", 2.5, once), sent("b", 3.5, large.unionByName(large)), sent("c", 0.5, once)]
-    clean = dedup_transactions(standardize(reduce(DataFrame.unionByName, files)), repeats=True)
+    sent_rows = dealt(reduce(DataFrame.unionByName, files), by_folder=False)
+    clean = dedup_transactions(standardize(sent_rows), repeats=True)
     return plain(clean.select("txn_id", "profile_id", "post_date", "amount", "balance", "source_file", "occurrence"))
 
 

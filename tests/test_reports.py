@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybook.operators import access, drilldown, ranges, rollups
-from tallybook.operators.standardize import dedup_transactions, standardize
+from tallybook.operators.standardize import dealt, dedup_transactions, standardize
 from tallybook.sources.lake import Lake, read_fact, write_table
 from tallybook.sources.reference_data import profiles_table, read_taxonomy
 from tallybook.schemas import FACT
@@ -146,3 +146,32 @@ def test_silver_runs_without_python_and_limits_copies_before_the_shuffle(spark):
     assert "Python" not in plan
     before = plan.split("Exchange hashpartitioning")[1]
     assert "WindowGroupLimit" in before
+
+
+def _sent(spark):
+    """Copies in two files with real repeats, other spellings, other spaces, nulls and empty texts."""
+    shop = ("Shop", "shop ", " SHOP", "S  hop", "S\thop", None, "", "sh|op", "2024-01-05|1.00|shop")
+    rows = [
+        (p, a, d, m, text, b, f, f)
+        for p in ("p", None) for a in ("acc", None, "", "a|2024-01-05|1.00") for d in ("2024-01-05", None, "no day") for m in ("1.00", "1.004", None)
+        for text in shop for b, f in ((None, "a"), ("2", "a"), ("1", "b"), (None, "b"), (None, "b"))
+    ]
+    names = ("profile_id", "account_id", "post_date", "amount", "description", "balance", "source_file", "source_sha256")
+    return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names)).withColumn("currency", F.lit("EUR"))
+
+
+def test_dealt_rows_have_the_same_survivors_and_are_moved_once(spark):
+    bronze = _sent(spark)
+    for repeats in (False, True):
+        want = sorted(map(repr, dedup_transactions(standardize(bronze), repeats).collect()))
+        for by_folder in (False, True):
+            got = dedup_transactions(standardize(dealt(bronze, by_folder)), repeats)
+            assert sorted(map(repr, got.collect())) == want
+            assert physical(got).split("Initial Plan")[-1].count("Exchange ") == 1
+    assert physical(dedup_transactions(standardize(bronze), True)).split("Initial Plan")[-1].count("Exchange ") == 1
+
+
+def test_repeats_move_only_what_orders_and_what_is_selected(spark):
+    shown = dedup_transactions(standardize(dealt(_sent(spark), by_folder=False)), True).select("txn_id", "amount", "occurrence")
+    moved = physical(shown).split("Exchange hashpartitioning")[1]
+    assert "sha2(" not in moved and "merchant" not in physical(shown)
