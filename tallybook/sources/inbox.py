@@ -86,7 +86,8 @@ def file_contents(spark: SparkSession, files: list[Row]) -> DataFrame:
     )
     # A line with an odd number of quotes opens a field that goes on in the next line.
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    broken = F.max(quotes % 2 == 1).alias("broken_lines")
+    # As a set, since Spark then keeps a buffer for each file. With a maximum all lines would be sorted by file, for the header's sake.
+    broken = F.array_contains(F.collect_set(quotes % 2 == 1), True).alias("broken_lines")
     return listing.join(line_digests(lines, "uri", header, broken), "uri")
 
 
