@@ -7,7 +7,7 @@ from typing import Any
 from pyspark.sql import SparkSession
 
 from tallybook.operators.first_match import categorize
-from tallybook.operators.standardize import dedup_transactions, standardize
+from tallybook.operators.standardize import dealt, dedup_transactions, standardize
 from tallybook.plans.incremental import refresh, write_gold
 from tallybook.sinks.exports import export_all
 from tallybook.sources.lake import (
@@ -23,8 +23,9 @@ from tallybook.streaming.inbox_stream import ingest_inbox
 
 
 def build_silver(spark: SparkSession, lake: Lake, fmt: str = "parquet") -> None:
-    """Bronze to silver, whole table."""
-    write_table(dedup_transactions(standardize(read_bronze(spark, lake, fmt))), lake.silver, fmt=fmt)
+    """Bronze to silver, whole table. One exchange brings both copies and the rows of a folder together."""
+    bronze = dealt(read_bronze(spark, lake, fmt))
+    write_table(dedup_transactions(standardize(bronze)), lake.silver, fmt=fmt, regroup=False)
 
 
 def build_categorized(

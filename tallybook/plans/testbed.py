@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallybook.operators.first_match import categorize
 from tallybook.operators.rollups import fact_transactions
-from tallybook.operators.standardize import dedup_transactions, standardize
+from tallybook.operators.standardize import dealt, dedup_transactions, standardize
 from tallybook.plans.scratch import shared_folder
 from tallybook.schemas import MONEY
 from tallybook.sources.folders import folder_statistics, note_folders
@@ -100,8 +100,8 @@ def gold_lake(spark: SparkSession, sf_dir: str) -> Lake:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _GOLD:
         lake = Lake(shared_folder(spark, "gold"))
-        clean = dedup_transactions(silver(spark, sf_dir))
-        write_table(fact_transactions(categorize(clean, SHOP_RULES)), lake.fact)
+        clean = dedup_transactions(standardize(dealt(ledger(spark, sf_dir))))
+        write_table(fact_transactions(categorize(clean, SHOP_RULES)), lake.fact, regroup=False)
         note_folders(spark, lake, folder_statistics(read_fact(spark, lake)))
         _GOLD[key] = lake
     return _GOLD[key]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -54,6 +56,9 @@ class Lake:
 BY_PROFILE = ("profile_id",)
 BY_PROFILE_MONTH = ("profile_id", "year", "month")
 
+# Files that a task keeps open at once in writes without a sort.
+OPEN_FILES = 64
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """Read with a declared schema: no inference job, and a profile named 007 stays text."""
@@ -79,14 +84,32 @@ def write_table(
 ) -> None:
     """Write a partitioned table. ``replace``: the whole table, or only the ``partitions`` present in ``df``.
 
-    ``regroup`` is for rows in any order; rows that come from a table with the same folders, row by row, need
-    no exchange: a task writes to the few folders it has read. The rebalance hint brings rows of a partition
-    folder together, so tasks do not each open every folder; adaptive execution then splits a folder that holds
-    a large share of the rows over several tasks and merges small ones.
+    ``regroup`` is for rows in any order. The rebalance hint brings rows of a partition folder together, so tasks
+    do not each open every folder; adaptive execution then splits a folder that holds a large share of the rows over
+    several tasks and merges small ones. Rows that come folder by folder already, from a table with the same folders or
+    from ``dealt``, need no exchange: a task writes to the few folders it has. Nor are they sorted by folder, which
+    would spill where a task has much: a task keeps a file open for each of its folders, and sorts only what
+    belongs to folders beyond ``OPEN_FILES``.
     """
     rows = df.hint("rebalance", *by) if regroup else df
     writer = rows.write.format(fmt).mode("overwrite").partitionBy(*by)
-    writer.option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static").save(path)
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")
+    writer = writer.option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
+    with nullcontext() if regroup else unsorted_writes(df.sparkSession):
+        writer.save(path)
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Writes within go to up to ``OPEN_FILES`` partition folders of a task at a time, without a sort by folder before."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, OPEN_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def spread(df: DataFrame) -> DataFrame:

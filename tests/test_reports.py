@@ -4,14 +4,20 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from tallybook import schemas
 from tallybook.operators import access, drilldown, ranges, rollups
 from tallybook.operators.standardize import dealt, dedup_transactions, standardize
-from tallybook.sources.lake import Lake, read_fact, write_table
+from tallybook.plans import jobs
+from tallybook.sinks.exports import export_transactions
+from tallybook.sources.lake import Lake, read_bronze, read_fact, read_silver, write_table
 from tallybook.sources.reference_data import profiles_table, read_taxonomy
 from tallybook.schemas import FACT
 
+OPEN = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 @pytest.fixture(scope="module")
 def facts(spark):
@@ -175,3 +181,27 @@ def test_repeats_move_only_what_orders_and_what_is_selected(spark):
     shown = dedup_transactions(standardize(dealt(_sent(spark), by_folder=False)), True).select("txn_id", "amount", "occurrence")
     moved = physical(shown).split("Exchange hashpartitioning")[1]
     assert "sha2(" not in moved and "merchant" not in physical(shown)
+
+
+def test_silver_is_grouped_and_freed_of_copies_by_one_exchange_and_written_unsorted(spark, tmp_path, monkeypatch):
+    rows = _sent(spark).withColumns({"ingest_batch": F.lit("1"), "unread": F.lit(None).cast(schemas.UNREAD)})
+    lake = Lake(str(tmp_path))
+    write_table(rows.withColumns({c: F.col(c).cast(schemas.MONEY) for c in ("amount", "balance")}), lake.bronze, by=("profile_id", "ingest_batch"))
+    written = []
+    save = DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, *a, **k: (written.append((physical(self._df), spark.conf.get(OPEN))), save(self, *a, **k))[1])
+    before = spark.conf.get(OPEN)
+    jobs.build_silver(spark, lake)
+    assert spark.conf.get(OPEN) == before and written[0][1] != before
+    assert written[0][0].split("Initial Plan")[-1].count("Exchange ") == 1
+    want = dedup_transactions(standardize(read_bronze(spark, lake)))
+    assert sorted(map(repr, read_silver(spark, lake).select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_large_profiles_are_exported_without_an_exchange(spark, facts, tmp_path):
+    some = facts.repartition(3)
+    for large in (10**9, 1):
+        export_transactions(some, str(tmp_path / str(large)), large)
+    few, many = (spark.read.option("header", True).csv(str(tmp_path / str(n))) for n in (10**9, 1))
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
+    assert len(few.inputFiles()) == few.select("profile").distinct().count() < len(many.inputFiles())
