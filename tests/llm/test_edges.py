@@ -1,9 +1,12 @@
 """Crowds of near copies, interactions of words, odd pages, long key runs, and columns whose names clash."""
 
+import hashlib
 import random
 import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallybook.llm import mixing, ngram_join, page_text, secrets, substrings, toxicity
@@ -133,6 +136,30 @@ def test_many_copies_of_one_passage(spark):
     assert got[3000] == (0, 0) and got[3001] == (410, 1) and got[3002] == (800, 1)
 
 
+def test_cutting_many_strings_out_takes_little_memory():
+    """As many texts as Spark hands over at once, each with a lot of overlapping and touching strings, some with none."""
+    rnd = random.Random(7)
+    texts = [None if n % 50 == 0 else "é" + "abcdefg" * rnd.randint(60, 200) for n in range(6_000)]
+    found = [None if n % 7 == 0 else sorted((rnd.randrange(len(t) - 60), rnd.randint(20, 60)) for _ in range(30)) if t else [] for n, t in enumerate(texts)]
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("reach", pa.int64())]))
+    dicts = [None if f is None else [{"start": a, "reach": n} for a, n in f] for f in found]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6_000)), pa.array(texts, pa.string()), pa.array(dicts, kind)], ["doc_id", "text", "found"])
+    del dicts
+    tracemalloc.start()
+    rows = pa.Table.from_batches(substrings._cut(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000_000  # lists of Python objects took several times as much
+    for text, spans, row in zip(texts, found, rows.to_pylist()):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for a, n in spans or ():
+            gone[a : a + n] = b"\1" * n
+        edges = [i for i in range(len(data) + 1) if (gone[i - 1] if i else 0) != (gone[i] if i < len(data) else 0)]
+        assert (row["n_bytes"], row["n_removed"], row["n_spans"], row["spans"]) == (len(data), sum(gone), len(edges) // 2, edges)
+        assert row["kept_sha256"] == hashlib.sha256(bytes(c for c, g in zip(data, gone) if not g)).hexdigest()
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert ngram_join.ngram_components(docs).collect() == [] and substrings.deduplicated(docs).collect() == []
