@@ -111,13 +111,12 @@ def _thetas(base: DataFrame, sources: DataFrame, most: int) -> DataFrame:
 
 
 def _newton(state: DataFrame, histogram: DataFrame, most: int) -> DataFrame:
-    rows = _by_source(histogram, state.select("source", "mean", "theta", "full"))
+    rows = _by_source(histogram, state.drop("miss"))  # the only join of a step: each is a broadcast that the driver builds
     share = F.col("count") * F.col("size") * _rate(most)
     slope = F.when(_rate(most) < most, share * F.col("size") / F.col("mean")).otherwise(0.0)
-    sums = rows.groupBy("source").agg(
-        F.sum(share.cast("decimal(38,8)")).cast("double").alias("got"), F.sum(slope.cast("decimal(38,8)")).cast("double").alias("slope")
+    now = rows.groupBy("source").agg(
+        *_same(state.drop("miss")), F.sum(share.cast("decimal(38,8)")).cast("double").alias("got"), F.sum(slope.cast("decimal(38,8)")).cast("double").alias("slope")
     )
-    now = _by_source(state, sums)
     over = F.col("got") > F.col("target")
     low = F.when(over, F.col("low")).otherwise(F.col("theta"))
     high = F.when(over, F.col("theta")).otherwise(F.col("high"))
@@ -135,6 +134,17 @@ def _by_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFra
     return left.join(right, left["source"].eqNullSafe(right[key]), how).drop(key)
 
 
+def _same(sources: DataFrame) -> list[Column]:
+    """Aggregates that hand on what is the same in all rows of a source."""
+    return [F.first(c).alias(c) for c in sources.columns if c != "source"]
+
+
+def _with_found(sources: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """``sources`` with ``name`` out of ``found`` (source, name), null where that has no row: by grouping, without a join."""
+    rows = sources.drop(name).unionByName(found.select("source", name), allowMissingColumns=True)
+    return rows.groupBy("source").agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns if c != "source"])
+
+
 def _parts(most: int) -> tuple[Column, Column, Column]:
     """Whole copies, the place in the order of rounding up (null if there is nothing to round), and its bin."""
     rate = _rate(most)
@@ -145,35 +155,37 @@ def _parts(most: int) -> tuple[Column, Column, Column]:
 
 def _cuts(base: DataFrame, thetas: DataFrame, most: int) -> DataFrame:
     whole, place, bin_ = _parts(most)
-    rows = _by_source(base.where("size > 0"), thetas).select("source", "target", "size", whole.alias("whole"), place.alias("place"), bin_.alias("bin"))
-    left = rows.groupBy("source").agg((F.max("target") - F.sum(F.col("whole") * F.col("size"))).alias("left"))
-    bins = rows.where("place IS NOT NULL").groupBy("source", "bin").agg(F.sum("size").alias("words"))
-    bins = _by_source(bins, left)
-    upto = F.sum("words").over(W.partitionBy("source").orderBy("bin"))
-    bins = bins.withColumn("before", upto - F.col("words")).where("before <= left AND before + words > left")
-    cut = bins.select("source", "left", "before", F.col("bin").alias("at"))
-    inside = _by_source(rows.where("place IS NOT NULL"), cut).where("bin = at")
+    thetas = thetas.drop("miss")
+    rows = _by_source(base.where("size > 0"), thetas)
+    # At most _BINS rows of a source, and one for the documents that have nothing to round.
+    bins = rows.groupBy("source", bin_.alias("bin")).agg(
+        *_same(thetas), F.sum(whole * F.col("size")).alias("whole"), F.sum(F.when(place.isNotNull(), F.col("size")).otherwise(0)).alias("words")
+    )
+    own = W.partitionBy("source")
+    bins = bins.withColumn("left", F.max("target").over(own) - F.sum("whole").over(own))
+    bins = bins.withColumn("before", F.sum("words").over(own.orderBy("bin")) - F.col("words"))
+    here = F.expr("bin IS NOT NULL AND before <= left AND before + words > left")
+    cut = bins.groupBy("source").agg(*_same(thetas), F.first("left").alias("left"), *[F.max(F.when(here, F.col(c))).alias(n) for c, n in (("before", "before"), ("bin", "at"))])
+    cut = stored(cut, "mix-at")
+    inside = _by_source(base.where("size > 0"), cut).withColumn("place", place).where(place.isNotNull() & (bin_ == F.col("at")))
     ordered = inside.withColumn("upto", F.col("before") + F.sum("size").over(W.partitionBy("source").orderBy("place", "size").rowsBetween(W.unboundedPreceding, 0)))
     last = ordered.where("upto - size / 2 <= left").groupBy("source").agg(F.max("place").alias("last"))
     # Sources whose order never reaches what is left round up everything; a cut before the first of its bin rounds up all bins before.
-    cuts = _by_source(cut, last, "left").select("source", "at", "last")
-    cuts = _by_source(thetas.select("source", "source_size", "target", "mean", "full", "theta"), cuts, "left")
-    none = F.lit(None).cast("double")
+    cuts = _with_found(cut.drop("left", "before"), last, "last").withColumns({f"flip{k}": F.lit(None).cast("double") for k in range(_FLIPS)})
     for k in range(_FLIPS):
-        cuts = stored(cuts.withColumns({f"flip{i}": none for i in range(k, _FLIPS)}) if not k else cuts, "mix-flips")
-        cuts = _flipped(base, cuts, k, most)
+        cuts = _flipped(base, stored(cuts, "mix-flips"), k, most)
     return cuts
 
 
 def _flipped(base: DataFrame, cuts: DataFrame, k: int, most: int) -> DataFrame:
     """One more document of each source rounded the other way, where that brings the source nearer to its target."""
     rows = _by_source(base.where("size > 0"), cuts)
-    taken = rows.groupBy("source").agg((F.max("target") - F.sum(_copies(rows, most) * F.col("size"))).alias("miss"))
+    taken = stored(rows.groupBy("source").agg(*_same(cuts), (F.max("target") - F.sum(_copies(rows, most) * F.col("size"))).alias("miss")), "mix-missed")
     change = F.when(_up(most), -F.col("size")).otherwise(F.col("size"))
     unused = F.coalesce(*[F.col("mark") == F.col(f"flip{i}") for i in range(k)], F.lit(False)) if k else F.lit(False)
-    free = _by_source(rows.where(_parts(most)[1].isNotNull() & ~unused), taken).withColumn("then", F.abs(F.col("miss") - change))
-    best = free.where("then < abs(miss)").groupBy("source").agg(F.min(F.struct("then", "mark"))["mark"].alias("found"))
-    return _by_source(cuts, best, "left").withColumn(f"flip{k}", F.col("found")).drop("found")
+    free = _by_source(base.where("size > 0"), taken).where(_parts(most)[1].isNotNull() & ~unused).withColumn("then", F.abs(F.col("miss") - change))
+    best = free.where("then < abs(miss)").groupBy("source").agg(F.min(F.struct("then", "mark"))["mark"].alias(f"flip{k}"))
+    return _with_found(taken.drop("miss"), best, f"flip{k}")
 
 
 def _up(most: int) -> Column:

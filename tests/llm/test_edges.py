@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallybook.llm import mixing, ngram_join, page_text, secrets, substrings, toxicity
+from tallybook.llm import mixing, ngram_join, page_text, secrets, substrings, tables, toxicity
 
 
 def shingled(text, size):
@@ -160,6 +160,20 @@ def test_cutting_many_strings_out_takes_little_memory():
         assert row["kept_sha256"] == hashlib.sha256(bytes(c for c, g in zip(data, gone) if not g)).hexdigest()
 
 
+def test_mix_joins_once_a_plan(spark, monkeypatch):
+    """Each broadcast join takes memory of the driver, so a plan has one at most and few plans have any."""
+    joins = []
+
+    def counted(df, name):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return tables.stored(df, name)
+
+    monkeypatch.setattr(mixing, "stored", counted)
+    docs = spark.createDataFrame([(n, "w " * (1 + n % 37), ["a", "a", "b", None][n % 4]) for n in range(400)], "doc_id long, text string, source string")
+    mixing.rates(docs)
+    assert max(joins) == 1 and sum(joins) < 20
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert ngram_join.ngram_components(docs).collect() == [] and substrings.deduplicated(docs).collect() == []
