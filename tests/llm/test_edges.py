@@ -4,6 +4,7 @@ import hashlib
 import random
 import time
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -136,6 +137,32 @@ def test_many_copies_of_one_passage(spark):
     assert got[3000] == (0, 0) and got[3001] == (410, 1) and got[3002] == (800, 1)
 
 
+def test_copies_of_a_suffix_are_sorted_once(spark, monkeypatch):
+    """Copies of a text bring the same starts, so one of them goes on beside a text that ends otherwise; also in hot ranges."""
+    rnd = random.Random(11)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(900))
+    ends = ["".join(rnd.choice("klmnop") for _ in range(600)) for _ in range(4)]
+    texts = [passage + ends[0]] * 300 + [passage[:700] + ends[1], passage[200:] + ends[2], ends[3]]
+    raw = [t.encode() for t in texts]
+    seen = Counter(b[i : i + 400] for b in raw for i in range(len(b) - 399))
+    want = {}
+    for n, b in enumerate(raw):
+        gone = np.zeros(len(b), dtype=bool)
+        for i in range(len(b) - 399):
+            if seen[b[i : i + 400]] > 1:
+                gone[i : i + 400] = True
+        want[n] = (int(gone.sum()), hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    kept = {}
+    monkeypatch.setattr(substrings, "stored", lambda df, name: kept.setdefault((hot, name), tables.stored(df, name)))
+    for hot in (substrings._HOT_RECORDS, 20):
+        monkeypatch.setattr(substrings, "_HOT_RECORDS", hot)
+        got = {r.doc_id: (r.n_removed, r.kept_sha256) for r in substrings.deduplicated(docs).collect()}
+        assert got == want
+        on = kept[hot, "suffix-first"].where("around IS NOT NULL")
+        assert 0 < on.count() == on.select("digest", "before", "around").distinct().count() < 100
+
+
 def test_cutting_many_strings_out_takes_little_memory():
     """As many texts as Spark hands over at once, each with a lot of overlapping and touching strings, some with none."""
     rnd = random.Random(7)
