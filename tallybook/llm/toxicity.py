@@ -92,14 +92,18 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Machin
     # A fixed bound of rows, so the labelled side may be broadcast.
     chosen = texts.join(F.broadcast(marks), "doc_id").select("toxic", "text").mapInArrow(hashed, "toxic int, terms binary")
     rows = chosen.groupBy("terms").agg(F.max("toxic").alias("toxic")).orderBy("terms").limit(most)
-    target, term, doc = [], [], []
-    for i, row in enumerate(rows.toLocalIterator()):
-        own = np.frombuffer(row["terms"], dtype=np.int32)
-        target.append(row["toxic"])
-        term.append(own)
-        doc.append(np.full(len(own), i, dtype=np.int32))
-    empty = np.zeros(0, np.int32)
-    return learn(np.array(target, dtype=float), np.concatenate([empty, *term]), np.concatenate([empty, *doc]))
+    return learn(*_flat(rows.toArrow()))
+
+
+def _flat(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """toxic of each row, the terms of all end to end, and the row of each: no object a row, which the driver would not give back."""
+    terms = [x.cast(pa.large_binary()) for x in rows.column("terms").chunks if len(x)]
+    ends = [np.frombuffer(x.buffers()[1], dtype=np.int64)[x.offset : x.offset + len(x) + 1] for x in terms]
+    data = [np.frombuffer(x.buffers()[2], dtype=np.uint8)[e[0] : e[-1]] for x, e in zip(terms, ends) if e[-1] > e[0]]
+    size = np.concatenate([np.zeros(0, np.int64), *[np.diff(e) for e in ends]]) // 4
+    term = np.concatenate([np.zeros(0, np.uint8), *data]).view(np.int32)
+    target = rows.column("toxic").to_numpy().astype(float)
+    return target, term, np.repeat(np.arange(len(size), dtype=np.int32), size)
 
 
 def learn(target: np.ndarray, term: np.ndarray, doc: np.ndarray, seed: int = 7) -> Machine:

@@ -207,3 +207,29 @@ def test_empty_tables(spark):
     assert toxicity.toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int")).collect() == []
     assert mixing.mix(docs).collect() == []
     assert page_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_driver_gets_one_array_of_many(spark, monkeypatch):
+    """Each array that passes through the driver takes several times its size there."""
+    sizes = []
+    collect = type(spark.range(0)).collect
+    monkeypatch.setattr(type(spark.range(0)), "collect", lambda self: sizes.append(len(rows := collect(self))) or rows)
+    rows = [(np.full(1000, n, dtype=np.int64).tobytes(),) for n in range(12)]
+    total = tables.merged(spark.createDataFrame(rows, "counters binary").repartition(6), np.int64, np.add)
+    assert sizes == [1] and (total == sum(range(12))).all()
+    assert tables.merged(spark.createDataFrame([], "counters binary"), np.int64, np.add) is None
+
+
+def test_labelled_terms_reach_the_driver_without_an_object_a_row():
+    rnd = random.Random(3)
+    own = [np.array(sorted(rnd.sample(range(1000), rnd.randint(0, 300))), dtype=np.int32) for _ in range(4_000)]
+    kind = pa.schema([("terms", pa.binary()), ("toxic", pa.int32())])
+    whole = pa.Table.from_arrays([pa.array([x.tobytes() for x in own], pa.binary()), pa.array([n % 3 == 0 for n in range(4_000)]).cast(pa.int32())], schema=kind)
+    rows = pa.concat_tables([whole.slice(0, 1500), whole.slice(1500, 0), whole.slice(1500)])
+    tracemalloc.start()
+    target, term, doc = toxicity._flat(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert target.tolist() == [float(n % 3 == 0) for n in range(4_000)] and (term == np.concatenate(own)).all()
+    assert (doc == np.repeat(np.arange(4_000), [len(x) for x in own])).all() and peak < 4 * term.nbytes
+    assert [len(x) for x in toxicity._flat(whole.slice(0, 0))] == [0, 0, 0]
