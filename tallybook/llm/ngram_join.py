@@ -347,11 +347,16 @@ def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERC
     """
     groups = ngram_components(docs, words, percent)
     gone, again, turn = (unused(docs, name) for name in ("gone", "again", "turn"))
+    # Ids are stored before texts are joined to them: Spark knows the size of either list then, and moves the texts once, or
+    # not at all, instead of once for each of the two joins.
     dropped = groups.where("n_shingles > 0 AND component_id <> doc_id").select(F.col("doc_id").alias(gone)).distinct()
-    kept = docs.join(dropped, F.col("doc_id").cast("long") == F.col(gone), "left_anti")
+    dropped = stored(dropped, "ngram-dropped")
+    is_gone = F.col("doc_id").cast("long") == F.col(gone)
+    kept = docs.join(dropped, is_gone, "left_anti")
     spare = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(again))
+    spare = stored(spare, "ngram-spare")
     single = kept.join(spare, F.col("doc_id") == F.col(again), "left_anti")
-    repeated = kept.join(spare, F.col("doc_id") == F.col(again), "left_semi")
+    repeated = docs.join(spare, F.col("doc_id") == F.col(again), "left_semi").join(dropped, is_gone, "left_anti")
     place = F.row_number().over(W.partitionBy("doc_id").orderBy("text")).alias(turn)
     first = repeated.select("*", place).where(F.col(turn) == 1).drop(turn)
     return single.unionByName(first)

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook.llm import mixing, ngram_join, page_text, secrets, substrings, tables, toxicity
 
@@ -233,3 +234,36 @@ def test_labelled_terms_reach_the_driver_without_an_object_a_row():
     assert target.tolist() == [float(n % 3 == 0) for n in range(4_000)] and (term == np.concatenate(own)).all()
     assert (doc == np.repeat(np.arange(4_000), [len(x) for x in own])).all() and peak < 4 * term.nbytes
     assert [len(x) for x in toxicity._flat(whole.slice(0, 0))] == [0, 0, 0]
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while found.hasNext():
+        names.add(found.next().getName())
+    return {x for x in names if x.startswith("shuffle_") and x.endswith(".data")}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    """A driver that is seldom short of memory would keep those of all jobs."""
+    before = shuffle_files(spark)
+    rows = spark.range(50_000).withColumn("k", F.col("id") % 999)
+    table = tables.stored(rows.join(rows.groupBy("k").agg(F.max("id").alias("top")).hint("merge"), "k").distinct(), "test-files")
+    end = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and table.count() == 50_000
+
+
+def test_texts_move_once_to_lose_their_copies(spark, monkeypatch):
+    """Neither list of ids is small enough to be sent whole, or only the empty one is."""
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"{text} x{i % 90}" if i % 3 else f"own{i} " * 9) for i in range(900)], "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1100")
+    try:
+        kept = ngram_join.one_of_each(tables.stored(docs, "test-docs"), 5, 80)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        moved = [x for x in plan.split("\n") if "Exchange hashpartitioning(doc_id" in x]
+        assert kept.count() == 301 and len(moved) <= 1 + plan.count("Window [")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
