@@ -2,7 +2,9 @@
 
 A document is its set of word shingles. Two documents link when their sets have a Jaccard similarity of at least
 ``percent`` / 100. Shingles have one global order, rare ones first: by the logarithm of a counter that all documents
-feed (a hash table of fixed size, so counts are upper bounds and the order is only a matter of speed), then by hash.
+feed (a hash table of fixed size, so counts are upper bounds and the order is only a matter of speed), then by hash. The
+table must be large beside the shingles and its logarithm fine: where all counters are about as full, the order is by hash,
+prefixes hold common shingles, and the pairs to be tried grow much faster than the documents.
 If two sets link, the prefixes of ``n - ceil(t n) + l`` shingles of both share at least ``l`` shingles. Every document
 takes the ``l`` for which its estimated cost is least: reading the postings of its prefix, plus verifying the
 candidates, of which there are at most (postings read) / l. A pair needs ``min`` of both ``l`` before it is verified.
@@ -37,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallybook.llm.tables import components, discard, merged, stored, unused
+from tallybook.llm.tables import components, discard, merged, pack, stored, unused
 from tallybook.llm.tokens import BLANKS, Words, pieces, shingles
 
 SHINGLE_WORDS = 3
@@ -45,7 +47,9 @@ PERCENT = 90
 LONGEST_MATCH = 8
 #: Cost of verifying a candidate, counted in postings read.
 VERIFY_COST = 64
-_COUNTERS = 1 << 17
+_COUNTER_BITS = 22
+#: Steps of the order for each doubling of a counter; all steps of a 32-bit counter fit in a byte.
+_STEPS = 7
 #: Bits of the filter that spares most documents the last pass; it lets too many pass, never too few.
 _FILTER_BITS = 1 << 23
 _PIVOTS = 4
@@ -59,10 +63,11 @@ def ngram_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     first = stored(
         texts.mapInArrow(lambda it: _sets(it, words), "doc_id long, n long, key binary, counters binary"), "ngram-sets"
     )
-    members = first.where("counters IS NULL").drop("counters")
+    members = stored(first.where("counters IS NULL").drop("counters"), "ngram-members")
     classes = members.where("n > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"))
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(_ranks(first))
+    discard(first)
 
     prefixes = texts.where("doc_id IS NOT NULL").mapInArrow(
         lambda it: _prefixes(it, ranks.value, words, percent), "doc_id long, n long, key binary, tokens array<long>"
@@ -86,15 +91,20 @@ def ngram_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    counters = np.zeros(_COUNTERS, dtype=np.int64)
+    counters = np.zeros(1 << _COUNTER_BITS, dtype=np.uint32)
     for batch in pieces(batches):
         values, begin = shingles(Words(batch.column(1), BLANKS), words)
-        counters += np.bincount((values >> np.uint64(47)).astype(np.int64), minlength=_COUNTERS)
+        slots, found = np.unique(_slots(values), return_counts=True)
+        counters[slots] += found.astype(np.uint32)
         n = np.diff(begin)
         keys = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() for a, b in zip(begin[:-1], begin[1:])]
         yield _arrow(batch.column(0), pa.array(n), pa.array(keys, pa.binary()), pa.nulls(len(n), pa.binary()))
     none = pa.nulls(1, pa.int64())
-    yield _arrow(none, none, pa.nulls(1, pa.binary()), pa.array([counters.tobytes()], pa.binary()))
+    yield _arrow(none, none, pa.nulls(1, pa.binary()), pa.array([pack(counters)], pa.binary()))
+
+
+def _slots(shingled: np.ndarray) -> np.ndarray:
+    return (shingled >> np.uint64(64 - _COUNTER_BITS)).astype(np.int64)
 
 
 def _arrow(*columns: pa.Array) -> pa.RecordBatch:
@@ -103,16 +113,19 @@ def _arrow(*columns: pa.Array) -> pa.RecordBatch:
 
 
 def _ranks(first: DataFrame) -> np.ndarray:
-    """Logarithm of each counter, over all documents."""
-    total = merged(first.where("counters IS NOT NULL").select("counters"), np.int64, np.add)
-    total = np.zeros(_COUNTERS) if total is None else total
-    return np.log2(total + 1).astype(np.uint8)
+    """Logarithm of each counter, over all documents, in steps that fit a byte."""
+
+    def steps(total: np.ndarray) -> bytes:
+        return (_STEPS * np.log2(total.astype(np.float32) + 1)).astype(np.uint8).tobytes()
+
+    ranks = merged(first.where("counters IS NOT NULL").select("counters"), np.uint32, np.add, packed=True, last=steps)
+    return np.zeros(1 << _COUNTER_BITS, dtype=np.uint8) if ranks is None else ranks
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], ranks: np.ndarray, words: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
         values, begin = shingles(Words(batch.column(1), BLANKS), words)
-        rank = ranks[(values >> np.uint64(47)).astype(np.int64)]
+        rank = ranks[_slots(values)]
         n, tokens, keys = np.diff(begin), [], []
         for a, b in zip(begin[:-1].tolist(), begin[1:].tolist()):
             size = b - a
@@ -127,8 +140,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], ranks: np.ndarray, words: int,
 def _chosen(prefixes: DataFrame, percent: int) -> DataFrame:
     """doc_id, n, need (shared prefix shingles asked for), tokens (those of the prefix that another document has, too)."""
     postings = prefixes.select("doc_id", "n", F.posexplode("tokens").alias("pos", "token"))
-    lengths = postings.groupBy("token").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    shared = postings.join(lengths, "token")
+    # Counted where they are dealt to, so the postings move once and no list of tokens moves beside them.
+    shared = postings.withColumn("f", F.count(F.lit(1)).over(W.partitionBy("token"))).where("f > 1")
     least = F.col("n") - F.floor((percent * F.col("n") + 99) / 100)
     read = [F.sum(F.when(F.col("pos") < least + m, F.col("f") - 1).otherwise(0)) for m in range(1, LONGEST_MATCH + 1)]
     cost = [

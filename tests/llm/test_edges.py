@@ -267,3 +267,26 @@ def test_texts_move_once_to_lose_their_copies(spark, monkeypatch):
         assert kept.count() == 301 and len(moved) <= 1 + plan.count("Window [")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_postings_move_once(spark):
+    prefixes = spark.createDataFrame([(i, 40, [i % 7, 100 + i, 1000 + i % 3]) for i in range(60)], "doc_id long, n long, tokens array<long>")
+    chosen = ngram_join._chosen(prefixes, 90)
+    assert chosen._jdf.queryExecution().optimizedPlan().toString().count("Generate ") == 1
+    got = {r.doc_id: set(r.tokens) for r in chosen.collect()}
+    assert got == {i: {i % 7, 1000 + i % 3} for i in range(60)}
+
+
+def test_rare_shingles_lead_where_many_documents_fill_the_counters(spark):
+    """Two million words found once, and a thousand that six documents share, each with a hundred of its own."""
+    rows = [(i, " ".join(f"{i}u{j}" for j in range(100_000))) for i in range(20)]
+    shared = " ".join(f"common{j}" for j in range(1000))
+    rows += [(100 + i, shared + "".join(f" {i}own{j}" for j in range(100))) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    first = tables.stored(docs.mapInArrow(lambda it: ngram_join._sets(it, 1), "doc_id long, n long, key binary, counters binary"), "test-sets")
+    ranks = ngram_join._ranks(first)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [100 + i for i in range(6)], "text": [t for _, t in rows[20:]]})
+    (found,) = ngram_join._prefixes(iter([batch]), ranks, 1, 90)
+    prefixes = [set(x) for x in found.column(3).to_pylist()]
+    common = set.intersection(*(set(ngram_join.shingles(ngram_join.Words(pa.array([t]), ngram_join.BLANKS), 1)[0].view(np.int64).tolist()) for _, t in rows[20:]))
+    assert len(common) == 1000 and all(len(x) == 118 and len(x & common) < 40 for x in prefixes)
