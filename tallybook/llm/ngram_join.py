@@ -138,7 +138,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], ranks: np.ndarray, words: int,
 
 
 def _chosen(prefixes: DataFrame, percent: int) -> DataFrame:
-    """doc_id, n, need (shared prefix shingles asked for), tokens (those of the prefix that another document has, too)."""
+    """doc_id, n, need (shared prefix shingles asked for), tokens (those of the prefix that another document has, too), places (where
+    in the order of all its shingles each stands)."""
     postings = prefixes.select("doc_id", "n", F.posexplode("tokens").alias("pos", "token"))
     # Counted where they are dealt to, so the postings move once and no list of tokens moves beside them.
     shared = postings.withColumn("f", F.count(F.lit(1)).over(W.partitionBy("token"))).where("f > 1")
@@ -156,12 +157,11 @@ def _chosen(prefixes: DataFrame, percent: int) -> DataFrame:
     )
     need = F.least("need", F.floor((percent * F.col("n") + 99) / 100)).cast("int")
     within = F.filter("found", lambda x: x["pos"] < least + F.col("need"))
-    return kept.withColumn("need", need).select("doc_id", "n", "need", "middle", F.transform(within, lambda x: x["token"]).alias("tokens"))
+    return kept.withColumn("need", need).select("doc_id", "n", "need", "middle", within["token"].alias("tokens"), within["pos"].alias("places"))
 
 
 def _links(texts: DataFrame, chosen: DataFrame, words: int, percent: int) -> DataFrame:
     """Verified links (a, b) that hold every component together."""
-    lists = chosen.select(F.explode("tokens").alias("token"), "doc_id", "n", "need", "middle")
     seen, groups = None, None
     rest, turn = None, 0
     fetched: list[DataFrame] = []
@@ -185,8 +185,10 @@ def _links(texts: DataFrame, chosen: DataFrame, words: int, percent: int) -> Dat
         return now
 
     while True:
-        now = lists if groups is None else lists.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        now = chosen if groups is None else chosen.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         now = now.withColumn("component", F.coalesce("component", "doc_id") if groups is not None else F.col("doc_id"))
+        now = now.select(F.explode(F.arrays_zip("tokens", "places")).alias("x"), "doc_id", "n", "need", "middle", "component")
+        now = now.select(F.col("x.tokens").alias("token"), F.col("x.places").alias("pos"), "doc_id", "n", "need", "middle", "component")
         mixed = None
         if turn:
             mixed = stored(_mixed(now), "ngram-mixed")
@@ -219,8 +221,8 @@ def _stars(lists: DataFrame, chosen: DataFrame, turn: int, percent: int) -> Data
     seed = F.pmod(F.col("token"), F.lit(_PIVOTS)) + turn * _PIVOTS
     first = F.lit(0.0) if turn else -F.col("middle")
     by = F.struct(first.alias("first"), F.xxhash64("doc_id", seed).alias("by"), F.col("doc_id").alias("p"), F.col("component").alias("pc"), F.col("need").alias("pneed"))
-    pivots = lists.groupBy("token").agg(F.min(by).alias("v")).select("token", "v.p", "v.pc", "v.pneed")
-    met = lists.join(pivots, "token").where("component <> pc").groupBy(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b"))
+    met = lists.select("doc_id", "need", "component", F.min(by).over(W.partitionBy("token")).alias("v")).select("doc_id", "need", "component", "v.p", "v.pc", "v.pneed")
+    met = met.where("component <> pc").groupBy(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b"))
     # What two documents share is dealt to some pivots; pairs that meet too rarely for that wait for the rest.
     pairs = met.agg(F.count(F.lit(1)).alias("lists"), F.min(F.least("need", "pneed")).alias("asked")).where(F.col("lists") * _PIVOTS >= F.col("asked"))
     return _sharing_enough(pairs.select("a", "b"), chosen, percent)
@@ -237,12 +239,12 @@ def _sharing_enough(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFr
 
 def _mixed(lists: DataFrame) -> DataFrame:
     """Postings of lists that span several components, with the list's largest component and the pairs it takes."""
-    by = lists.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"))
-    top = by.groupBy("token").agg(
-        F.sum("size").alias("all"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "component")).alias("top")
-    ).where("parts > 1").select("token", "all", F.col("top.component").alias("main"))
+    by, first, last = W.partitionBy("token"), F.min("component"), F.max("component")
+    mixed = lists.select("*", F.count(F.lit(1)).over(by).alias("all"), first.over(by).alias("first"), last.over(by).alias("last")).where("first <> last")
+    mixed = mixed.withColumn("size", F.count(F.lit(1)).over(W.partitionBy("token", "component")))
+    mixed = mixed.withColumn("main", F.max(F.struct("size", "component")).over(by)["component"])
     pairs = F.when(F.col("component") == F.col("main"), 0).otherwise(F.col("all"))
-    return lists.join(top, "token").withColumn("pairs", pairs.cast("long")).drop("all")
+    return mixed.withColumn("pairs", pairs.cast("long")).drop("all", "first", "last", "size")
 
 
 def _by_length(mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -255,12 +257,18 @@ def _by_length(mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _across(mixed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents that meet in lists, lie in different components and may share enough of their prefixes."""
-    columns = ("doc_id", "n", "need", "component", "elsewhere")
+    """Pairs of documents that meet in lists, lie in different components and may share enough of their prefixes.
+
+    Two sets that link share at least ``common`` shingles, so either has at most ``n - common`` before its first shared one, and
+    the ``l``-th shared one, for every ``l``, stands below ``n - common + l`` in both. Only such meetings are formed and counted.
+    """
+    columns = ("doc_id", "n", "need", "pos", "component", "elsewhere")
     left = mixed.where("component <> main").select("token", *[F.col(c).alias(f"{c}1") for c in columns])
     right = mixed.select("token", "main", *[F.col(c).alias(f"{c}2") for c in columns])
     met = left.join(right, "token").where("component1 <> component2 AND (component2 = main OR doc_id1 < doc_id2)")
-    met = met.where(_sizes_fit("n1", "n2", percent))
+    common = F.floor((F.lit(percent) * (F.col("n1") + F.col("n2")) + 99 + percent) / (100 + percent))
+    behind = common - F.least("need1", "need2")
+    met = met.where(_sizes_fit("n1", "n2", percent)).where((F.col("pos1") < F.col("n1") - behind) & (F.col("pos2") < F.col("n2") - behind))
     return (
         met.groupBy(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b"))
         .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("need1", "need2")).alias("asked"), F.min(F.least("elsewhere1", "elsewhere2")).alias("more"))
