@@ -197,8 +197,8 @@ def _links(texts: DataFrame, chosen: DataFrame, words: int, percent: int) -> Dat
                 break
             if rest is not None and left > rest / 2 or left <= 2 * mixed.count():
                 short, crowd = _by_length(mixed)
-                seen = verified(_across(short, percent))
                 crowd = stored(crowd, "ngram-crowd")
+                seen = verified(_across(short, crowd, percent))
                 if not crowd.isEmpty():
                     seen = verified(_in_crowd(crowd, sets_for(crowd.select("doc_id")), percent))
                 discard(mixed, crowd)
@@ -248,32 +248,32 @@ def _mixed(lists: DataFrame) -> DataFrame:
 
 
 def _by_length(mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings of lists of at most ``LONG_LIST`` documents, with the number of longer lists that hold the document, too; and
-    the documents (doc_id, n, component) of these."""
+    """Postings of lists of at most ``LONG_LIST`` documents; and the documents (doc_id, n, component) of longer lists, with the
+    number of these that hold each (elsewhere)."""
     long = mixed.groupBy("token").agg(F.count(F.lit(1)).alias("postings")).where(F.col("postings") > LONG_LIST).select("token")
     crowd = mixed.join(long, "token", "left_semi").groupBy("doc_id", "n", "component").agg(F.count(F.lit(1)).alias("elsewhere"))
-    short = mixed.join(long, "token", "left_anti").join(crowd.select("doc_id", "elsewhere"), "doc_id", "left")
-    return short.withColumn("elsewhere", F.coalesce("elsewhere", F.lit(0))), crowd.drop("elsewhere")
+    return mixed.join(long, "token", "left_anti"), crowd
 
 
-def _across(mixed: DataFrame, percent: int) -> DataFrame:
+def _across(mixed: DataFrame, crowd: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents that meet in lists, lie in different components and may share enough of their prefixes.
 
     Two sets that link share at least ``common`` shingles, so either has at most ``n - common`` before its first shared one, and
     the ``l``-th shared one, for every ``l``, stands below ``n - common + l`` in both. Only such meetings are formed and counted.
     """
-    columns = ("doc_id", "n", "need", "pos", "component", "elsewhere")
+    columns = ("doc_id", "n", "need", "pos", "component")
     left = mixed.where("component <> main").select("token", *[F.col(c).alias(f"{c}1") for c in columns])
     right = mixed.select("token", "main", *[F.col(c).alias(f"{c}2") for c in columns])
     met = left.join(right, "token").where("component1 <> component2 AND (component2 = main OR doc_id1 < doc_id2)")
     common = F.floor((F.lit(percent) * (F.col("n1") + F.col("n2")) + 99 + percent) / (100 + percent))
     behind = common - F.least("need1", "need2")
     met = met.where(_sizes_fit("n1", "n2", percent)).where((F.col("pos1") < F.col("n1") - behind) & (F.col("pos2") < F.col("n2") - behind))
-    return (
-        met.groupBy(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("need1", "need2")).alias("asked"), F.min(F.least("elsewhere1", "elsewhere2")).alias("more"))
-        .where("shared + more >= asked").select("a", "b")
-    )
+    met = met.groupBy(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b"))
+    met = met.agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("need1", "need2")).alias("asked"))
+    for side in ("a", "b"):
+        met = met.join(crowd.select(F.col("doc_id").alias(side), F.col("elsewhere").alias(f"more_{side}")), side, "left")
+    more = F.least(F.coalesce("more_a", F.lit(0)), F.coalesce("more_b", F.lit(0)))
+    return met.where(F.col("shared") + more >= F.col("asked")).select("a", "b")
 
 
 def _in_crowd(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

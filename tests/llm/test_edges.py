@@ -294,9 +294,10 @@ def test_rare_shingles_lead_where_many_documents_fill_the_counters(spark):
 
 def test_pairs_that_meet_too_late_are_not_formed(spark):
     """Of a hundred shingles each, two sets that link at 90 percent share 95, so the first shared one has five before it at most."""
-    columns = "token long, pos int, doc_id long, n long, need int, middle double, component long, main long, pairs long, elsewhere long"
+    columns = "token long, pos int, doc_id long, n long, need int, middle double, component long, main long, pairs long"
     lists = [(1, [(1, 5), (2, 5)]), (2, [(3, 5), (4, 6)]), (3, [(5, 6), (6, 0)]), (4, [(7, 6), (8, 6)]), (5, [(7, 0), (8, 0)]), (6, [(9, 3), (10, 3)])]
     need = {7: 2, 8: 3, 9: 2, 10: 2}
-    rows = [(token, pos, doc, 100, need.get(doc, 1), 0.0, doc, -1, 2, 0) for token, found in lists for doc, pos in found]
-    pairs = ngram_join._across(spark.createDataFrame(rows, columns), 90).collect()
-    assert {(r.a, r.b) for r in pairs} == {(1, 2), (7, 8)}
+    rows = [(token, pos, doc, 100, need.get(doc, 1), 0.0, doc, -1, 2) for token, found in lists for doc, pos in found]
+    crowd = spark.createDataFrame([(9, 100, 9, 1), (10, 100, 10, 4)], "doc_id long, n long, component long, elsewhere long")
+    pairs = ngram_join._across(spark.createDataFrame(rows, columns), crowd, 90).collect()
+    assert {(r.a, r.b) for r in pairs} == {(1, 2), (7, 8), (9, 10)}
